@@ -1 +1 @@
-"""plans of the engine."""
+"""Registered queries, grouped by subject."""
