@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewire.llm import capping, leaks, repeated_lines, shared_spans
+from tidewire.llm import capping, leaks, repeated_lines, shared_spans, visual_forms
 from tidewire.runtime import table
 
 
@@ -20,6 +20,15 @@ def p1_cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_lines.without_repeated_lines(arts).select("id", "content", "removed_lines")
 
 
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return visual_forms.lookalike_pairs(table(spark, sf_dir, "articles"), ["title", "content"])
+
+
+def p2_one_form(spark: SparkSession, sf_dir: str) -> DataFrame:
+    arts = table(spark, sf_dir, "articles").select("id", "title", "content").distinct()
+    return visual_forms.in_one_form(arts, ["title", "content"])
+
+
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return capping.capped(table(spark, sf_dir, "articles")).filter(~F.col("kept")).select("id")
 
