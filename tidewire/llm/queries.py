@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewire.llm import capping, leaks, repeated_lines, shared_spans, visual_forms
+from tidewire.llm import capping, leaks, mojibake, repeated_lines, shared_spans, visual_forms
 from tidewire.runtime import table
 
 
@@ -33,6 +33,15 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return capping.capped(table(spark, sf_dir, "articles")).filter(~F.col("kept")).select("id")
 
 
+def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mojibake.garbled_fields(table(spark, sf_dir, "articles"), ["title", "content"]).select("id", "field")
+
+
+def p6_restored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    arts = table(spark, sf_dir, "articles").select("id", "title", "content").distinct()
+    return mojibake.restored(arts, ["title", "content"])
+
+
 def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaks.leaked_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items"))
 
