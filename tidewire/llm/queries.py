@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewire.llm import capping, leaks, mojibake, repeated_lines, shared_spans, visual_forms
+from tidewire.llm import capping, leaks, mojibake, repeated_lines, residue, shared_spans, visual_forms
 from tidewire.runtime import table
 
 
@@ -42,6 +42,15 @@ def p6_restored(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mojibake.restored(arts, ["title", "content"])
 
 
+def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return residue.residue_ids(table(spark, sf_dir, "articles"))
+
+
+def p7_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
+    arts = table(spark, sf_dir, "articles").select("id", "content", "content_length").distinct()
+    return residue.without_residue(arts)
+
+
 def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaks.leaked_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items"))
 
