@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewire.llm import capping, leaks, mojibake, repeated_lines, residue, shared_spans, visual_forms
+from tidewire.llm import capping, leaks, main_body, mojibake, repeated_lines, residue, shared_spans, visual_forms
 from tidewire.runtime import table
 
 
@@ -29,6 +29,18 @@ def p2_one_form(spark: SparkSession, sf_dir: str) -> DataFrame:
     return visual_forms.in_one_form(arts, ["title", "content"])
 
 
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_body.furniture_lines(table(spark, sf_dir, "articles"), table(spark, sf_dir, "raw_pages"))
+
+
+def p3_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_body.main_bodies(table(spark, sf_dir, "articles"), table(spark, sf_dir, "raw_pages"))
+
+
+def p3_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_body.page_bodies(table(spark, sf_dir, "raw_pages"))
+
+
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return capping.capped(table(spark, sf_dir, "articles")).filter(~F.col("kept")).select("id")
 
