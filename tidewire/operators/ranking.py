@@ -23,23 +23,28 @@ def top_n_per_group(df: DataFrame, keys: Sequence[str], order: Sequence[Column],
 def distributed_rank(df: DataFrame, keys: Sequence[str], order: Sequence[Column], name: str = "rank") -> DataFrame:
     """Add ``name``: the 1-based rank of each row in its group, for groups larger than one task holds.
 
+    ``order`` must end in a unique key. Null group values form a group of their own; an empty frame stays empty.
+    """
+    return distributed_running_sum(df, keys, order, F.lit(1), name)
+
+
+def distributed_running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[Column], weight: Column, name: str) -> DataFrame:
+    """Add ``name``: the sum of ``weight`` over the rows of the group up to and with this one, as a long.
+
     The rows are range-partitioned by group and order and sorted inside each partition, so a hot group spreads over
-    many tasks. Rows are numbered inside each (group, partition) piece, and the offset of a piece is the count of
-    the pieces before it: at most one piece per group and partition boundary, a table of groups plus partitions.
-    ``order`` must end in a unique key. Null group values form a group of their own.
+    many tasks. Sums run inside each (group, partition) piece, and the offset of a piece is the sum of the pieces before
+    it: at most one piece per group and partition boundary, a table of groups plus partitions. Null weights count 0.
     """
-    if not df.columns:
-        raise ValueError("a frame without columns has no rank")
-    ks = [F.col(k) for k in keys]
-    spread = df.repartitionByRange(*[k.asc_nulls_first() for k in ks], *order)
-    # the range bounds come from a sample; staging fixes which row went where before it is counted
+    ks = [F.col(k).asc_nulls_first() for k in keys]
+    spread = df.withColumn("_w", F.coalesce(weight, F.lit(0)).cast("long")).repartitionByRange(*ks, *order)
+    # the range bounds come from a sample; staging fixes which row went where before it is summed
     placed = staged(spread.withColumn("_piece", F.spark_partition_id()), "ranked")
-    inside = Window.partitionBy(*keys, "_piece").orderBy(*order)
-    pieces = placed.groupBy(*keys, "_piece").agg(F.count(F.lit(1)).alias("_n"))
+    inside = Window.partitionBy(*keys, "_piece").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    pieces = placed.groupBy(*keys, "_piece").agg(F.sum("_w").alias("_n"))
     before = Window.partitionBy(*keys).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
     offsets = pieces.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
     offsets = offsets.withColumnsRenamed({k: f"_k_{k}" for k in keys} | {"_piece": "_op"})
     small = broadcast_if_small(staged(offsets, "offsets"), 80)
     on = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys] + [F.col("_piece") == F.col("_op")]
-    numbered = placed.withColumn("_in", F.row_number().over(inside)).join(small, on, "inner")
-    return numbered.withColumn(name, F.col("_in") + F.col("_before")).select(*df.columns, name)
+    summed = placed.withColumn("_in", F.sum("_w").over(inside)).join(small, on, "inner")
+    return summed.withColumn(name, F.col("_in") + F.col("_before")).select(*df.columns, name)
