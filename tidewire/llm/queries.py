@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewire.llm import capping, leaks, main_body, mojibake, repeated_lines, residue, shared_spans, visual_forms
+from tidewire.llm import capping, leaks, main_body, mixing, mojibake, repeated_lines, residue, shared_spans, visual_forms
 from tidewire.runtime import table
 
 
@@ -67,6 +67,18 @@ def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaks.leaked_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items"))
 
 
+def p9_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixed(table(spark, sf_dir, "documents"), table(spark, sf_dir, "mix_targets"))
+
+
+def p9_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.shares_reached(p9_mix(spark, sf_dir), table(spark, sf_dir, "mix_targets"))
+
+
+def p10_shared(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shared_spans.shared_parts(table(spark, sf_dir, "documents"))
+
+
 def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shared_spans.shared_pairs(table(spark, sf_dir, "documents"))
 

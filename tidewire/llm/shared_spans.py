@@ -12,7 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewire.runtime import broadcast_if_small, staged
@@ -149,8 +149,7 @@ def _common(x: str, y: str) -> int:
 def shared_runs(documents: DataFrame, min_span: int = MIN_SPAN) -> DataFrame:
     """(doc_id_a, doc_id_b, pos_a, pos_b, back, fwd): verified hits of at least ``min_span`` characters.
 
-    Texts that are the same as a whole are worked on once; ``expand`` maps them back. Chunks of one digest meet in a
-    join that AQE splits when a digest is hot, and only the first chunk of a run both documents share makes a candidate,
+    Chunks of one digest meet in a join that AQE splits when a digest is hot, and only the first chunk of a run both documents share makes a candidate,
     so a long shared span gives one candidate instead of one for each of its chunks. Verification reads only the
     neighbourhood of ``min_span`` characters on both sides of a hit.
     """
@@ -179,3 +178,22 @@ def shared_pairs(documents: DataFrame, min_span: int = MIN_SPAN) -> DataFrame:
     Null texts, texts shorter than the span and an empty table give none; a document never pairs with itself.
     """
     return shared_runs(documents, min_span).select("doc_id_a", "doc_id_b").distinct()
+
+
+def shared_parts(documents: DataFrame, min_span: int = MIN_SPAN) -> DataFrame:
+    """(doc_id, n_chars, shared_chars, share) for each document that shares a span: how much of it stands elsewhere too.
+
+    ``shared_chars`` counts the characters that lie in some verified run. The runs of a document are merged by a window over
+    its own runs, sorted by their start.
+    """
+    runs = shared_runs(documents, min_span)
+    span = lambda side: runs.select(
+        F.col(f"doc_id_{side}").alias("doc_id"), (F.col(f"pos_{side}") - F.col("back")).alias("lo"), (F.col(f"pos_{side}") + F.col("fwd")).alias("hi")
+    )
+    spans = staged(span("a").unionByName(span("b")).distinct(), "spans")
+    w = Window.partitionBy("doc_id").orderBy("lo", "hi").rowsBetween(Window.unboundedPreceding, -1)
+    fresh = F.greatest(F.lit(0), F.col("hi") - F.greatest(F.col("lo"), F.coalesce(F.max("hi").over(w), F.lit(0))))
+    covered = spans.select("doc_id", fresh.alias("n")).groupBy("doc_id").agg(F.sum("n").alias("shared_chars"))
+    sizes = documents.filter(F.col("doc_id").isNotNull()).select("doc_id", F.length("text").alias("n_chars"))
+    joined = covered.join(sizes, "doc_id")
+    return joined.select("doc_id", "n_chars", "shared_chars", F.round(F.col("shared_chars") / F.col("n_chars"), 6).alias("share"))
