@@ -65,8 +65,8 @@ def state_upserted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return state.upserted(old, new, "c_custkey", ["seq"]).select("c_custkey", "c_name", "c_acctbal", "channel")
 
 
-def _log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = table(spark, sf_dir, "events")
+def log_of(e: DataFrame) -> DataFrame:
+    """Events as transitions of a crawl frontier, with the user as the URL."""
     action = F.when(F.col("event_type").isin("signup", "view"), "upsert").when(F.col("event_type") == "purchase", "crawled").when(F.col("event_type") == "error", "failed").otherwise("skipped")
     return e.select(
         F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("url_hash"),
@@ -82,7 +82,7 @@ def _log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def state_frontier(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return state.replayed_frontier(_log(spark, sf_dir))
+    return state.replayed_frontier(log_of(table(spark, sf_dir, "events")))
 
 
 def state_touched(spark: SparkSession, sf_dir: str) -> DataFrame:
