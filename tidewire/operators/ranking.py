@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewire.runtime import broadcast_if_small, staged
+from tidewire.runtime import broadcast_if_small, fresh, staged
 
 
 def top_n_per_group(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int | Column) -> DataFrame:
@@ -17,7 +17,8 @@ def top_n_per_group(df: DataFrame, keys: Sequence[str], order: Sequence[Column],
     most ``n`` rows per task. Nulls sort as ``order`` says; an empty input gives no rows.
     """
     w = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn("_rank", F.row_number().over(w)).filter(F.col("_rank") <= n).drop("_rank")
+    (rank,) = fresh(df, "_rank")
+    return df.withColumn(rank, F.row_number().over(w)).filter(F.col(rank) <= n).drop(rank)
 
 
 def distributed_rank(df: DataFrame, keys: Sequence[str], order: Sequence[Column], name: str = "rank") -> DataFrame:
@@ -35,16 +36,18 @@ def distributed_running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[
     many tasks. Sums run inside each (group, partition) piece, and the offset of a piece is the sum of the pieces before
     it: at most one piece per group and partition boundary, a table of groups plus partitions. Null weights count 0.
     """
-    ks = [F.col(k).asc_nulls_first() for k in keys]
-    spread = df.withColumn("_w", F.coalesce(weight, F.lit(0)).cast("long")).repartitionByRange(*ks, *order)
+    piece, w, inner = fresh(df, "_piece", "_w", "_inner")
+    spread = df.withColumn(w, F.coalesce(weight, F.lit(0)).cast("long")).repartitionByRange(*[F.col(k).asc_nulls_first() for k in keys], *order)
     # the range bounds come from a sample; staging fixes which row went where before it is summed
-    placed = staged(spread.withColumn("_piece", F.spark_partition_id()), "ranked")
-    inside = Window.partitionBy(*keys, "_piece").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    pieces = placed.groupBy(*keys, "_piece").agg(F.sum("_w").alias("_n"))
-    before = Window.partitionBy(*keys).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = pieces.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
-    offsets = offsets.withColumnsRenamed({k: f"_k_{k}" for k in keys} | {"_piece": "_op"})
+    placed = staged(spread.withColumn(piece, F.spark_partition_id()), "ranked")
+    inside = Window.partitionBy(*keys, piece).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    pieces = placed.groupBy(*keys, piece).agg(F.sum(w).alias(inner))
+    before = Window.partitionBy(*keys).orderBy(piece).rowsBetween(Window.unboundedPreceding, -1)
+    names = fresh(placed, "_before", "_at", *[f"_key{i}" for i in range(len(keys))])
+    offsets = pieces.select(
+        F.coalesce(F.sum(inner).over(before), F.lit(0)).alias(names[0]), F.col(piece).alias(names[1]), *[F.col(k).alias(n) for k, n in zip(keys, names[2:], strict=True)]
+    )
     small = broadcast_if_small(staged(offsets, "offsets"), 80)
-    on = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys] + [F.col("_piece") == F.col("_op")]
-    summed = placed.withColumn("_in", F.sum("_w").over(inside)).join(small, on, "inner")
-    return summed.withColumn(name, F.col("_in") + F.col("_before")).select(*df.columns, name)
+    on = [F.col(k).eqNullSafe(F.col(n)) for k, n in zip(keys, names[2:], strict=True)] + [F.col(piece) == F.col(names[1])]
+    summed = placed.withColumn(inner, F.sum(w).over(inside)).join(small, on, "inner")
+    return summed.select(*[c for c in df.columns if c != name], (F.col(inner) + F.col(names[0])).alias(name))

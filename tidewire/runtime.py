@@ -76,6 +76,17 @@ def broadcast_if_small(df: DataFrame, row_bytes: int, limit: int = BROADCAST_LIM
     return F.broadcast(df) if df.count() * row_bytes <= limit else df
 
 
-def same(a: Column, b: Column) -> Column:
-    """Null-safe equality."""
-    return a.eqNullSafe(b)
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """The names, each made longer until no column of ``df`` has it (case aside), for columns added in between."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        out.append(name)
+    return out
+
+
+def packed(df: DataFrame) -> Column:
+    """All columns of ``df`` in one struct, so that whatever they are called nothing joined on can clash; ``row.*`` unpacks."""
+    return F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row")
