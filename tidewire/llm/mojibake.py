@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewire.runtime import broadcast_if_small, staged
+from tidewire.runtime import broadcast_if_small, packed, staged
 
 #: Single-byte decoders that UTF-8 text is wrongly put through.
 CODECS = ("cp1252", "latin-1", "cp1250", "cp1251", "koi8-r", "cp437", "mac-roman", "cp850", "cp866", "cp1258")
@@ -245,15 +245,18 @@ def restored(docs: DataFrame, fields: list[str], id_col: str = "id") -> DataFram
     found = garbled_words(docs, fields, id_col).filter("original IS NOT NULL")
     maps = staged(found.groupBy("id", "field").agg(F.map_from_entries(F.collect_list(F.struct("word", "original"))).alias("m")), "originals")
     edge = "[" + re.escape(_EDGES) + "]*"
-    out = docs
-    for field in fields:
-        of = F.col(f"_m_{field}")
-        own = maps.filter(F.col("field") == field).select(F.col("id").alias(f"_id_{field}"), F.col("m").alias(f"_m_{field}"))
-        out = out.join(own, F.col(id_col) == F.col(f"_id_{field}"), "left")
-        pieces = F.regexp_extract_all(F.col(field), F.lit(r"([ \t\r\n]+|[^ \t\r\n]+)"), F.lit(1))
-        mended = F.transform(pieces, _mend(of, edge))
-        out = out.withColumn(field, F.when(of.isNull(), F.col(field)).otherwise(F.array_join(mended, "")))
-    return out.select(*docs.columns)
+    rows = docs.select(packed(docs), F.col(id_col).alias("id"))
+    for k, field in enumerate(fields):
+        own = maps.filter(F.col("field") == field).select("id", F.col("m").alias(f"m{k}"))
+        rows = rows.join(own, "id", "left")
+
+    def mended(k: int, field: str) -> Column:
+        old, of = F.col(f"row.`{field}`"), F.col(f"m{k}")
+        pieces = F.regexp_extract_all(old, F.lit(r"([ \t\r\n]+|[^ \t\r\n]+)"), F.lit(1))
+        return F.when(of.isNull(), old).otherwise(F.array_join(F.transform(pieces, _mend(of, edge)), "")).alias(field)
+
+    at = {field: k for k, field in enumerate(fields)}
+    return rows.select(*[mended(at[c], c) if c in at else F.col(f"row.`{c}`") for c in docs.columns])
 
 
 def _mend(originals: Column, edge: str):  # noqa: ANN202

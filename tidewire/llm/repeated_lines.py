@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewire.runtime import broadcast_if_small, staged
+from tidewire.runtime import broadcast_if_small, packed, staged
 
 MIN_DOCS = 5
 MIN_SHARE = 0.03
@@ -77,11 +77,12 @@ def without_repeated_lines(docs: DataFrame, id_col: str = "id", source_col: str
     keep their text unchanged; rows that repeat an id all lose the same lines. Other columns pass through.
     """
     found = found_lines(docs, id_col=id_col, source_col=source_col, text_col=text_col, **settings)
-    drops = found.groupBy("id").agg(F.collect_set("line_no").alias("_drop")).withColumnRenamed("id", "_id")
-    joined = docs.join(drops, F.col(id_col) == F.col("_id"), "left")
-    kept = F.filter(F.split(F.col(text_col), "\n"), lambda _, i: ~F.array_contains("_drop", i))
+    drops = found.groupBy("id").agg(F.collect_set("line_no").alias("dropped"))
+    rows = docs.select(packed(docs), F.col(id_col).alias("id"), F.col(text_col).alias("old"))
+    joined = rows.join(drops, "id", "left")
+    kept = F.filter(F.split("old", "\n"), lambda _, i: ~F.array_contains("dropped", i))
     return joined.select(
-        *[c for c in docs.columns if c != text_col],
-        F.when(F.col("_drop").isNull(), F.col(text_col)).otherwise(F.array_join(kept, "\n")).alias(text_col),
-        F.coalesce(F.size("_drop"), F.lit(0)).alias("removed_lines"),
+        *[F.col(f"row.`{c}`") for c in docs.columns if c not in (text_col, "removed_lines")],
+        F.when(F.col("dropped").isNull(), F.col("old")).otherwise(F.array_join(kept, "\n")).alias(text_col),
+        F.coalesce(F.size("dropped"), F.lit(0)).alias("removed_lines"),
     )

@@ -88,6 +88,13 @@ def chunks_of(texts: list[str], min_span: int = MIN_SPAN, gear: int = GEAR, wind
     if len(start) > 1:
         alike = doc[1:] == doc[:-1]
         before[1:] = np.where(alike, _mix(digest[:-1] + (start[1:] - start[:-1]).astype(np.uint64)), np.uint64(0))
+    if len(start) > 2:
+        # in a stretch that repeats itself, equal chunks follow one another: its first and its last stand for all of them
+        same = (doc[1:] == doc[:-1]) & (digest[1:] == digest[:-1])
+        inner = np.zeros(len(start), bool)
+        inner[1:-1] = same[:-1] & same[1:]
+        start, doc, digest, before = start[~inner], doc[~inner], digest[~inner], before[~inner]
+        before[1:][same[~inner[1:]]] = 0
     begin = np.concatenate(([0], ends))[doc]
     return doc, start - begin, digest.view(np.int64), before.view(np.int64)
 
