@@ -22,6 +22,7 @@ GEAR = 32
 WINDOW = 100
 #: Characters worked on at once; a longer document is one piece of its own.
 SLICE_CHARS = 250_000
+RUN_FIELDS = "doc_id_a long, doc_id_b long, pos_a int, pos_b int, back int, fwd int"
 
 _MUL = np.uint64(0x9E3779B97F4A7C15)
 _TABLE = None
@@ -175,8 +176,7 @@ def shared_runs(documents: DataFrame, min_span: int = MIN_SPAN) -> DataFrame:
     na = near.select(F.col("doc_id").alias("doc_id_a"), F.col("pos").alias("pos_a"), F.col("off").alias("off_a"), F.col("near").alias("near_a"))
     nb = near.select(F.col("doc_id").alias("doc_id_b"), F.col("pos").alias("pos_b"), F.col("off").alias("off_b"), F.col("near").alias("near_b"))
     both = hits.join(na, ["doc_id_a", "pos_a"]).join(nb, ["doc_id_b", "pos_b"])
-    fields = "doc_id_a long, doc_id_b long, pos_a int, pos_b int, back int, fwd int"
-    return both.select("doc_id_a", "doc_id_b", "pos_a", "pos_b", "near_a", "off_a", "near_b", "off_b").mapInPandas(_extended, fields).filter(F.col("back") + F.col("fwd") >= min_span)
+    return both.select("doc_id_a", "doc_id_b", "pos_a", "pos_b", "near_a", "off_a", "near_b", "off_b").mapInPandas(_extended, RUN_FIELDS).filter(F.col("back") + F.col("fwd") >= min_span)
 
 
 def shared_pairs(documents: DataFrame, min_span: int = MIN_SPAN) -> DataFrame:
@@ -190,10 +190,16 @@ def shared_pairs(documents: DataFrame, min_span: int = MIN_SPAN) -> DataFrame:
 def shared_parts(documents: DataFrame, min_span: int = MIN_SPAN) -> DataFrame:
     """(doc_id, n_chars, shared_chars, share) for each document that shares a span: how much of it stands elsewhere too.
 
-    ``shared_chars`` counts the characters that lie in some verified run. The runs of a document are merged by a window over
-    its own runs, sorted by their start.
+    ``shared_chars`` counts the characters that lie in some verified run. Verified runs, which are few, are extended over
+    the whole texts; the runs of a document are merged by a window over its own runs, sorted by their start.
     """
-    runs = shared_runs(documents, min_span)
+    found = staged(shared_runs(documents, min_span).select("doc_id_a", "doc_id_b", "pos_a", "pos_b"), "runs")
+    ids = staged(found.select(F.col("doc_id_a").alias("doc_id")).union(found.select("doc_id_b")).distinct(), "sharers")
+    texts = documents.join(broadcast_if_small(ids, 48), "doc_id", "left_semi").groupBy("doc_id").agg(F.max("text").alias("text"))
+    ta = texts.select(F.col("doc_id").alias("doc_id_a"), F.col("text").alias("near_a"))
+    tb = texts.select(F.col("doc_id").alias("doc_id_b"), F.col("text").alias("near_b"))
+    both = found.join(ta, "doc_id_a").join(tb, "doc_id_b").withColumns({"off_a": F.col("pos_a"), "off_b": F.col("pos_b")})
+    runs = staged(both.mapInPandas(_extended, RUN_FIELDS), "whole_runs")
     span = lambda side: runs.select(
         F.col(f"doc_id_{side}").alias("doc_id"), (F.col(f"pos_{side}") - F.col("back")).alias("lo"), (F.col(f"pos_{side}") + F.col("fwd")).alias("hi")
     )

@@ -16,6 +16,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidewire.runtime import staged
+
 #: Characters worked on at once; a longer text is one piece of its own.
 SLICE_CHARS = 200_000
 
@@ -75,11 +77,13 @@ def _exploded(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return codes, np.concatenate(([0], np.cumsum([len(t) for t in texts]))).astype(np.int64)
 
 
-def _ordered(codes: np.ndarray, ccc: np.ndarray) -> None:
-    """Combining marks in the order of their classes, in place, by swaps of neighbours."""
+def _ordered(codes: np.ndarray, off: np.ndarray, ccc: np.ndarray) -> None:
+    """Combining marks in the order of their classes, in place, by swaps of neighbours within a text."""
     k = ccc[codes]
+    inside = np.ones(len(codes) + 1, bool)
+    inside[off] = False
     while True:
-        at = np.flatnonzero((k[:-1] > k[1:]) & (k[1:] > 0))
+        at = np.flatnonzero((k[:-1] > k[1:]) & (k[1:] > 0) & inside[1:-1])
         if not len(at):
             return
         at = at[np.concatenate(([True], np.diff(at) > 1))]  # swaps that touch wait for the next round
@@ -107,7 +111,7 @@ def skeletons(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         codes, off = out, np.concatenate(([0], ends))[off]
     else:
         codes = codes.copy()
-    _ordered(codes, ccc)
+    _ordered(codes, off, ccc)
     space = kind[codes] == SPACE
     codes[space] = 0x20
     # one space for a run, none at the ends of a text
@@ -170,7 +174,7 @@ def lookalike_pairs(docs: DataFrame, fields: list[str], id_col: str = "id") -> D
     Only looks that come in at least two exact forms are joined, so copies of one form cost nothing; AQE splits a look
     that is hot.
     """
-    keys = visual_keys(docs, fields, id_col)
+    keys = staged(visual_keys(docs, fields, id_col), "visual_keys")
     forms = keys.groupBy("field", "look").agg(F.min("exact").alias("a"), F.max("exact").alias("b")).filter("a <> b").select("field", "look")
     many = keys.join(forms, ["field", "look"], "left_semi")
     a = many.select("field", "look", F.col("id").alias("id_a"), F.col("exact").alias("exact_a"))
