@@ -22,9 +22,14 @@ GEAR = 32
 WINDOW = 100
 #: Characters worked on at once; a longer document is one piece of its own.
 SLICE_CHARS = 250_000
+#: Chunks with more places than this are not paired place by place, but by the windows of a whole span around them.
+HOT_PLACES = 300
 RUN_FIELDS = "doc_id_a long, doc_id_b long, pos_a int, pos_b int, back int, fwd int"
 
 _MUL = np.uint64(0x9E3779B97F4A7C15)
+# The same characters at another place differ by a power of an odd number, which has an inverse.
+_ODD = 0xD1342543DE82EF95
+_ODD_INVERSE = pow(_ODD, -1, 1 << 64)
 _TABLE = None
 
 
@@ -79,11 +84,10 @@ def chunks_of(texts: list[str], min_span: int = MIN_SPAN, gear: int = GEAR, wind
     doc = np.searchsorted(ends, at, "right")
     last = np.searchsorted(at, np.minimum(at + reach, ends[doc] - 1), "right") - 1
     ok = last > np.arange(len(at))
-    powers = np.cumprod(np.full(len(codes) + 1, 0xD1342543DE82EF95, np.uint64))
+    powers = np.cumprod(np.full(len(codes) + 1, _ODD, np.uint64))
     sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(values * powers[:-1])))
     start, stop, doc = at[ok], at[last[ok]], doc[ok]
-    # the same characters at another place differ by a power of an odd number, which has an inverse
-    inverse = np.cumprod(np.full(len(codes) + 1, pow(0xD1342543DE82EF95, -1, 1 << 64), np.uint64))
+    inverse = np.cumprod(np.full(len(codes) + 1, _ODD_INVERSE, np.uint64))
     digest = _mix((sums[stop] - sums[start]) * inverse[start] + (stop - start).astype(np.uint64) * _MUL)
     before = np.zeros(len(start), np.uint64)
     if len(start) > 1:
@@ -154,25 +158,72 @@ def _common(x: str, y: str) -> int:
     return lo
 
 
+def _paired(places: DataFrame, key: str) -> DataFrame:
+    """(doc_id_a, pos_a, doc_id_b, pos_b) of places with the same key, but for those whose places before agree as well."""
+    a = places.select(key, F.col("doc_id").alias("doc_id_a"), F.col("pos").alias("pos_a"), F.col("before").alias("before_a"))
+    b = places.select(key, F.col("doc_id").alias("doc_id_b"), F.col("pos").alias("pos_b"), F.col("before").alias("before_b"))
+    first = (F.col("before_a") != F.col("before_b")) | (F.col("before_a") == 0)
+    return a.join(b, key).filter((F.col("doc_id_a") < F.col("doc_id_b")) & first).select("doc_id_a", "doc_id_b", "pos_a", "pos_b").distinct()
+
+
+def near_places(documents: DataFrame, places: DataFrame, back: int, ahead: int) -> DataFrame:
+    """(doc_id, pos, off, near): the text from ``back`` characters before each place to ``ahead`` after its start."""
+    at = broadcast_if_small(staged(places, "places"), 64)
+    rows = documents.select("doc_id", "text").join(at, "doc_id").select("doc_id", "pos", F.greatest(F.lit(0), F.col("pos") - back).alias("lo"), "text")
+    return rows.select("doc_id", "pos", (F.col("pos") - F.col("lo")).alias("off"), F.expr(f"substring(text, lo + 1, pos - lo + {ahead})").alias("near")).distinct()
+
+
+def span_windows(documents: DataFrame, places: DataFrame, min_span: int) -> DataFrame:
+    """(digest, doc_id, pos, before) of the windows of ``min_span`` characters around places of hot chunks.
+
+    In a shared span the first chunk starts within GEAR + WINDOW - 2 characters, so one of that many windows before the
+    chunk is the beginning of the span. A chunk that very many documents hold thus costs a fixed number of rows for each
+    of its places, and only windows that really recur are paired. Only windows that stand in two places are returned.
+    """
+    reach = GEAR + WINDOW - 2
+
+    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for lo in range(0, len(batch), 200):
+                part = batch.iloc[lo : lo + 200]
+                texts, off = part["near"].tolist(), part["off"].to_numpy(np.int64)
+                lens = np.array([len(t) for t in texts], np.int64)
+                begin = np.cumsum(lens) - lens
+                values = _gear_values(np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32))
+                powers = np.cumprod(np.full(len(values) + 1, _ODD, np.uint64))
+                inverse = np.cumprod(np.full(len(values) + 1, _ODD_INVERSE, np.uint64))
+                sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(values * powers[:-1])))
+                n = np.maximum(0, np.minimum(off, lens - min_span) + 1)
+                row = np.repeat(np.arange(len(part)), n)
+                rel = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
+                start = begin[row] + rel
+                digest = _mix((sums[start + min_span] - sums[start]) * inverse[start]).view(np.int64)
+                before = np.where(rel > 0, np.concatenate((np.zeros(1, np.int64), digest[:-1])), 0)
+                doc, pos = part["doc_id"].to_numpy(np.int64), part["pos"].to_numpy(np.int64)
+                yield pd.DataFrame({"digest": digest, "doc_id": doc[row], "pos": (pos[row] - off[row] + rel).astype(np.int32), "before": before})
+
+    windows = staged(near_places(documents, places, reach, min_span).mapInPandas(cut, "digest long, doc_id long, pos int, before long").distinct(), "windows")
+    twice = windows.groupBy("digest").agg(F.count(F.lit(1)).alias("places")).filter("places > 1").select("digest")
+    return staged(windows.join(twice, "digest", "left_semi"), "repeated_windows")
+
+
 def shared_runs(documents: DataFrame, min_span: int = MIN_SPAN) -> DataFrame:
     """(doc_id_a, doc_id_b, pos_a, pos_b, back, fwd): verified hits of at least ``min_span`` characters.
 
-    Chunks of one digest meet in a join that AQE splits when a digest is hot, and only the first chunk of a run both documents share makes a candidate,
-    so a long shared span gives one candidate instead of one for each of its chunks. Verification reads only the
-    neighbourhood of ``min_span`` characters on both sides of a hit.
+    Chunks of one digest meet in a join, those of hot digests by windows (see span_windows), and only the first chunk of a
+    run both documents share makes a candidate, so a long shared span gives one candidate instead of one for each of its
+    chunks. Verification reads only the neighbourhood of ``min_span`` characters on both sides of a hit.
     """
     chunks = staged(chunk_table(documents, min_span), "chunks")
-    twice = chunks.groupBy("digest").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("digest")
-    twice = staged(chunks.join(twice, "digest", "left_semi"), "repeated_chunks")
-    a = twice.select("digest", F.col("doc_id").alias("doc_id_a"), F.col("pos").alias("pos_a"), F.col("before").alias("before_a"))
-    b = twice.select("digest", F.col("doc_id").alias("doc_id_b"), F.col("pos").alias("pos_b"), F.col("before").alias("before_b"))
-    first = (F.col("before_a") != F.col("before_b")) | (F.col("before_a") == 0)
-    hits = a.join(b, "digest").filter((F.col("doc_id_a") < F.col("doc_id_b")) & first).select("doc_id_a", "doc_id_b", "pos_a", "pos_b").distinct()
+    counts = chunks.groupBy("digest").agg(F.count(F.lit(1)).alias("places")).filter("places > 1")
+    twice = staged(chunks.join(counts, "digest"), "repeated_chunks")
+    hits = _paired(twice.filter(F.col("places") <= HOT_PLACES), "digest")
+    hot = twice.filter(F.col("places") > HOT_PLACES).select("doc_id", "pos").distinct()
+    if not hot.isEmpty():
+        hits = hits.unionByName(_paired(span_windows(documents, hot, min_span), "digest")).distinct()
     hits = staged(hits, "hits")
     places = hits.select(F.col("doc_id_a").alias("doc_id"), F.col("pos_a").alias("pos")).union(hits.select("doc_id_b", "pos_b")).distinct()
-    places = broadcast_if_small(staged(places, "places"), 64)
-    near = documents.select("doc_id", "text").join(places, "doc_id").select("doc_id", "pos", F.greatest(F.lit(0), F.col("pos") - min_span).alias("lo"), "text")
-    near = staged(near.select("doc_id", "pos", (F.col("pos") - F.col("lo")).alias("off"), F.expr(f"substring(text, lo + 1, pos - lo + {min_span})").alias("near")).distinct(), "near")
+    near = staged(near_places(documents, places, min_span, min_span), "near")
     na = near.select(F.col("doc_id").alias("doc_id_a"), F.col("pos").alias("pos_a"), F.col("off").alias("off_a"), F.col("near").alias("near_a"))
     nb = near.select(F.col("doc_id").alias("doc_id_b"), F.col("pos").alias("pos_b"), F.col("off").alias("off_b"), F.col("near").alias("near_b"))
     both = hits.join(na, ["doc_id_a", "pos_a"]).join(nb, ["doc_id_b", "pos_b"])
@@ -191,7 +242,9 @@ def shared_parts(documents: DataFrame, min_span: int = MIN_SPAN) -> DataFrame:
     """(doc_id, n_chars, shared_chars, share) for each document that shares a span: how much of it stands elsewhere too.
 
     ``shared_chars`` counts the characters that lie in some verified run. Verified runs, which are few, are extended over
-    the whole texts; the runs of a document are merged by a window over its own runs, sorted by their start.
+    the whole texts; the runs of a document are merged by a window over its own runs, sorted by their start. A stretch that
+    repeats itself with a short period, in chunks that are hot, is aligned with each other document once, by its beginning;
+    where the other one's stretch is shorter, what is beyond that is not counted.
     """
     found = staged(shared_runs(documents, min_span).select("doc_id_a", "doc_id_b", "pos_a", "pos_b"), "runs")
     ids = staged(found.select(F.col("doc_id_a").alias("doc_id")).union(found.select("doc_id_b")).distinct(), "sharers")
