@@ -26,7 +26,8 @@ def _events(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, str]:
 def stream_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     events, place = _events(spark, sf_dir)
     _run(flows.windowed_counts(events, "ts", ["event_type"], "1 day", "48 hours"), lambda b, _: b.write.mode("overwrite").parquet(f"{place}/out"), "complete", place)
-    return spark.read.parquet(f"{place}/out").select(F.date_format("start", "yyyy-MM-dd").alias("day"), "event_type", "n")
+    day = F.date_add(F.lit("1970-01-01").cast("date"), F.floor(F.unix_seconds("start") / 86400).cast("int"))  # whatever the session's zone
+    return spark.read.parquet(f"{place}/out").select(day.cast("string").alias("day"), "event_type", "n")
 
 
 def stream_unseen(spark: SparkSession, sf_dir: str) -> DataFrame:
