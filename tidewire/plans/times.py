@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidewire.operators import freshness
 from tidewire.operators.clocks import estimated_zones, instants, written
 from tidewire.runtime import staged, table
 
@@ -36,5 +37,15 @@ def p5_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
     return estimated_zones(parts.select("source_id", "t", "seen"), CANDIDATE_ZONES).join(declared, "source_id", "left")
 
 
-QUERIES = {"p5_found": p5_found, "p5_zones": p5_zones}
+def times_recent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    arts = table(spark, sf_dir, "articles").select("id", "url", "published_at", "content_length", "extracted_at")
+    return freshness.recent(arts, "2025-09-20", "Asia/Ho_Chi_Minh", 2).select("id").distinct()
+
+
+def times_fresh_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    arts = table(spark, sf_dir, "articles").select("id", "published_at", "extracted_at")
+    return freshness.fresh_by_day(arts, "2025-09-20", "Asia/Ho_Chi_Minh", 2, "2025-09-20T17:00:00", 48).select("id").distinct()
+
+
+QUERIES = {"p5_found": p5_found, "p5_zones": p5_zones, "times_recent": times_recent, "times_fresh_by_day": times_fresh_by_day}
 ORACLE: dict[str, str] = {}
