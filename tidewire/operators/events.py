@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewire.functions.arrays import distinct_array, ordered_array
@@ -44,10 +44,10 @@ def top_events(events: DataFrame, pools: Sequence[Pool], limit: int) -> DataFram
     """
     heat = [F.col("num_articles").desc_nulls_last(), F.abs("tone100").desc_nulls_last(), F.col("event_id").asc()]
     one = top_n_per_group(candidates(events, pools), ["event_id"], [F.col("pool_priority").asc(), *heat, F.col("source_url").asc_nulls_last()], 1)
-    kept: DataFrame | None = None
-    for p in pools:
-        own = one.filter(F.col("pool") == p.name).orderBy(*heat).limit(p.quota)
-        kept = own if kept is None else kept.unionByName(own)
+    place = F.row_number().over(Window.partitionBy("pool").orderBy(*heat))
+    quota = F.create_map(*[F.lit(x) for p in pools for x in (p.name, p.quota)])
+    # the constant bound lets Spark limit each pool before the shuffle; the quota of the own pool follows
+    kept = one.withColumn("_place", place).filter(F.col("_place") <= max(p.quota for p in pools)).filter(F.col("_place") <= quota[F.col("pool")]).drop("_place")
     return kept.orderBy(F.col("pool_priority").asc(), *heat).limit(limit)
 
 

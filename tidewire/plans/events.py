@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tidewire.functions.arrays import clean_entities
 from tidewire.functions.rules import bins, first_label, flags, hint_text, signals, weighted
 from tidewire.operators import events as ev
-from tidewire.runtime import table
+from tidewire.runtime import staged, table
 
 SINCE = "1998-12-01 00:00:00"
 ENTITIES = "MACHINERY|SITE1[0-9]"
@@ -71,7 +71,8 @@ def _pools() -> list[ev.Pool]:
 
 
 def _top(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ev.top_events(hot_events(spark, sf_dir), _pools(), 180)
+    """The top events, staged: at most 180 rows that the later steps join several times."""
+    return staged(ev.top_events(hot_events(spark, sf_dir), _pools(), 180), "top_events")
 
 
 def events_top(spark: SparkSession, sf_dir: str) -> DataFrame:
