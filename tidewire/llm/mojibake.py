@@ -1,8 +1,9 @@
 """Problem 6: text that went through a wrong decoder.
 
-Method: the garbled forms of every distinct clean word of the corpus under all encoding chains are joined by hash with the
-words of the documents that could be garbled; a hit names the verified original. Words that have lost characters (or
-whose original the corpus does not hold) are recognised by what is left of their byte sequences, and stay as they are.
+Method: the garbled forms of every distinct word of the corpus under all encoding chains are joined by hash with all words
+beyond ASCII of the documents; a hit names the original, verified by how the two are written and how often they stand in
+the corpus. Words that have lost characters (or whose original the corpus does not hold) are recognised by what is left of
+their byte sequences, and stay as they are.
 """
 
 from __future__ import annotations
@@ -22,8 +23,10 @@ from tidewire.runtime import broadcast_if_small, packed, staged
 CODECS = ("cp1252", "latin-1", "cp1250", "cp1251", "koi8-r", "cp437", "mac-roman", "cp850", "cp866", "cp1258")
 #: Single-byte pairs: text stored in the first and read as the second.
 SINGLE = (("cp1251", "cp1252"), ("cp1251", "koi8-r"), ("koi8-r", "cp1251"), ("cp866", "cp1251"), ("cp1251", "cp866"), ("koi8-r", "cp1252"))
-#: A word read under SINGLE counts only with at least so many characters, none of them ASCII.
+#: A word read under SINGLE counts only with at least so many characters beyond ASCII.
 SINGLE_LETTERS = 3
+#: A garbled form that looks like a word itself, with fewer letters than this, counts only beside another garbled word.
+SURE_LETTERS = 5
 LOST = "�"
 
 # White space that separates words; others, such as no-break spaces, can be what is left of a byte.
@@ -92,7 +95,15 @@ def garbled_forms(word: str) -> set[str]:
         forms.add(_decoded(once.encode("utf-8", "surrogatepass"), codec))
         if codec == "latin-1":
             forms.add(_decoded(once.encode("utf-8", "surrogatepass"), "cp1252"))
-    if len(word) >= SINGLE_LETTERS and all(ord(c) > 127 for c in word):
+    forms |= single_forms(word)
+    forms.discard(word)
+    return forms
+
+
+def single_forms(word: str) -> set[str]:
+    """What a word turns into under the single-byte pairs."""
+    forms: set[str] = set()
+    if sum(ord(c) > 127 for c in word) >= SINGLE_LETTERS:
         for stored, read in SINGLE:
             own = _encoded(word, stored)
             if own is not None:
@@ -118,20 +129,20 @@ def undone(word: str, depth: int = 2) -> str | None:
     return None
 
 
-def _foreign_letters(word: str) -> bool:
-    """Whether a word without ASCII letters is Cyrillic through and through when read back under a single-byte pair.
+def _strange(word: str) -> bool:
+    """Whether a word is not written as Cyrillic words are: other signs than letters and quotes, or capitals after small letters."""
+    if not all(c.isascii() or "\u0400" <= c <= "\u045f" or c in "Ґґ«»„“”’–—…№" for c in word):
+        return True
+    parts = re.findall(r"[^\W\d_]+", word)
+    return not parts or not all(x.islower() or x.isupper() or x[1:].islower() for x in parts)
 
-    Pairs that read Cyrillic as Cyrillic count only where small letters are followed by capital ones.
-    """
-    if len(word) < SINGLE_LETTERS:
-        return False
-    for stored, read in SINGLE:
-        raw = _encoded(word, read)
-        if raw is None or (any("\u0400" <= c <= "\u045f" for c in word) and not re.search("[а-я][А-Я]", word)):
-            continue
-        if all("\u0410" <= c <= "\u044f" or c in "ёЁ" for c in _decoded(raw, stored)):
-            return True
-    return False
+
+#: Cyrillic letters from the commonest on, to tell which of two equally frequent words is the natural one.
+_COMMON = {c: i for i, c in enumerate("оеаинтсрвлкмдпуяыьгзбчйхжшюцщэфъё")}
+
+
+def _rareness(word: str) -> float:
+    return sum(_COMMON.get(c, len(_COMMON)) for c in word.lower()) / len(word)
 
 
 @cache
@@ -162,14 +173,17 @@ def remains(word: str) -> bool:
 
 @cache
 def _kind(word: str) -> str:
-    """clean, lost (characters are gone), odd (a garbled form by its bytes), or foreign (one if the corpus has the original)."""
+    """lost (characters are gone), odd (a garbled form by its bytes), or clean (garbled only if the corpus has an original)."""
     if LOST in word:
         return "lost"
     if undone(word) is not None:
         return "odd"
-    if remains(word):
-        return "lost"
-    return "foreign" if _foreign_letters(word) else "clean"
+    return "lost" if remains(word) else "clean"
+
+
+def _words_of(text: str) -> Iterator[str]:
+    """The words beyond ASCII of a text, without the ASCII marks around them."""
+    return (w.strip(_EDGES) for w in _WORD.findall(text) if not w.isascii())
 
 
 def words_by_kind(docs: DataFrame, fields: list[str], id_col: str = "id") -> DataFrame:
@@ -186,7 +200,7 @@ def words_by_kind(docs: DataFrame, fields: list[str], id_col: str = "id") -> Dat
                 for i, text in zip(batch["id"], batch[field], strict=True):
                     if not text or text.isascii():
                         continue
-                    for word, n in Counter(w.strip(_EDGES) for w in _WORD.findall(text) if not w.isascii()).items():
+                    for word, n in Counter(_words_of(text)).items():
                         kind = _kind(word)
                         if kind == "clean":
                             clean[word] += n
@@ -201,30 +215,67 @@ def words_by_kind(docs: DataFrame, fields: list[str], id_col: str = "id") -> Dat
 
 
 def garbled_table(words: DataFrame) -> DataFrame:
-    """(garbled, original): for each suspect word that is a garbled form of a clean corpus word, the most frequent such word.
+    """(garbled, kind, original, weak): each corpus word that is a garbled form of another, with the most frequent such word.
 
-    The forms are made where the clean words are and never shuffled while the suspects are few enough to broadcast.    Clean words that are none of the suspects count as originals only.
+    All distinct words are looked up. Single-byte pairs of Cyrillic codecs undo each other, so of two words that are forms
+    of one another the original is the one written as words are; where both or neither are, the more frequent one in all
+    its cases, then the one of commoner letters. ``weak`` hits are short and look like words. The forms are made where
+    the clean words are and never shuffled while the vocabulary is small enough to broadcast.
     """
 
     def forms(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            out = [(g, w, n) for w, n in zip(batch["word"], batch["n"], strict=True) for g in garbled_forms(w)]
-            yield pd.DataFrame(out, columns=["garbled", "original", "n"])
-
-    clean = staged(words.filter("kind = 'clean'").groupBy("word").agg(F.sum("n").alias("n")), "clean_words")
-    suspects = staged(words.filter("kind IN ('odd', 'foreign')").select("word").distinct(), "suspect_words")
-    made = clean.mapInPandas(forms, "garbled string, original string, n long")
-    hits = made.join(broadcast_if_small(suspects, 120), F.col("garbled") == F.col("word"))
+            out = []
+            for w, n, cases in zip(batch["word"], batch["n"], batch["cases"], strict=True):
+                single = single_forms(w)
+                out += [(g, w, n, cases, len(g) >= 3, False, False) for g in garbled_forms(w) - single]
+                strange, rare = (_strange(w), _rareness(w)) if single else (False, 0.0)
+                for g in single:
+                    odd = _strange(g)
+                    if odd or not strange:
+                        out.append((g, w, n, cases, odd and not strange, rare < _rareness(g), not odd and len(g) < SURE_LETTERS))
+            yield pd.DataFrame(out, columns=["garbled", "original", "n", "cases", "sure", "commoner", "weak"])
+
+    counted = words.groupBy("kind", "word").agg(F.sum("n").alias("n")).withColumn("cases", F.sum("n").over(Window.partitionBy("kind", F.lower("word"))))
+    vocabulary = staged(counted, "vocabulary")
+    made = vocabulary.filter("kind = 'clean'").select("word", "n", "cases").mapInPandas(forms, "garbled string, original string, n long, cases long, sure boolean, commoner boolean, weak boolean")
+    known = vocabulary.select(F.col("word").alias("garbled"), "kind", F.col("cases").alias("own_cases"))
+    hits = made.join(broadcast_if_small(known, 120), "garbled").filter("kind <> 'clean' OR sure OR cases > own_cases OR (cases = own_cases AND commoner)")
     best = Window.partitionBy("garbled").orderBy(F.desc("n"), "original")
-    return hits.withColumn("_r", F.row_number().over(best)).filter("_r = 1").select("garbled", "original")
+    first = hits.withColumn("_r", F.row_number().over(best)).filter("_r = 1").select("garbled", "kind", "original", (F.col("weak") & (F.col("kind") == "clean")).alias("weak"))
+    # an original that is itself a garbled word leads to its own original
+    found = staged(first, "hits")
+    again = broadcast_if_small(found.filter("kind = 'clean' AND NOT weak"), 160).select(F.col("garbled").alias("original"), F.col("original").alias("root"))
+    return found.join(again, "original", "left").select("garbled", "kind", F.coalesce("root", "original").alias("original"), "weak")
+
+
+def _places(docs: DataFrame, fields: list[str], id_col: str) -> DataFrame:
+    """(id, field, word) of the different words beyond ASCII of each field."""
+
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            out = [(i, field, list(set(_words_of(text)))) for field in fields for i, text in zip(batch["id"], batch[field], strict=True) if text and not text.isascii()]
+            yield pd.DataFrame(out, columns=["id", "field", "words"])
+
+    rows = docs.filter(F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), *fields)
+    return rows.mapInPandas(read, "id string, field string, words array<string>").select("id", "field", F.explode("words").alias("word"))
 
 
 def garbled_words(docs: DataFrame, fields: list[str], id_col: str = "id") -> DataFrame:
-    """(id, field, word, kind, original) of each garbled word of each field; original is null where none was verified."""
+    """(id, field, word, kind, original) of each garbled word of each field; original is null where none was verified.
+
+    Words that only the corpus shows to be garbled are placed by a second pass over the text.
+    """
     words = staged(words_by_kind(docs, fields, id_col), "words")
-    originals = broadcast_if_small(staged(garbled_table(words), "garbled_words").withColumnRenamed("garbled", "word"), 160)
-    placed = words.filter("kind <> 'clean'").select("id", "field", "word", "kind").distinct().join(originals, "word", "left")
-    return placed.filter("kind <> 'foreign' OR original IS NOT NULL")
+    found = staged(garbled_table(words).withColumnRenamed("garbled", "word"), "garbled_words")
+    shown = found.filter("kind <> 'clean'").select("word", "original")
+    by_bytes = words.filter("kind <> 'clean'").select("id", "field", "word", "kind").distinct().join(broadcast_if_small(shown, 160), "word", "left").withColumn("weak", F.lit(False))
+    hidden = broadcast_if_small(found.filter("kind = 'clean'"), 160)
+    by_corpus = _places(docs, fields, id_col).join(hidden, "word").distinct()
+    columns = ["id", "field", "word", "kind", "original", "weak"]
+    placed = by_bytes.select(columns).unionByName(by_corpus.select(columns))
+    beside = F.count(F.lit(1)).over(Window.partitionBy("id", "field"))
+    return placed.withColumn("beside", beside).filter("NOT weak OR beside > 1").drop("weak", "beside")
 
 
 def garbled_fields(docs: DataFrame, fields: list[str], id_col: str = "id") -> DataFrame:
