@@ -2,6 +2,7 @@
 
 import gzip
 import random
+from collections import Counter
 from datetime import datetime
 
 
@@ -60,6 +61,23 @@ def test_greedy_pick(spark):
     assert got == [(2, 1), (0, 2), (1, 3), (3, 4)]  # two of each host, the priority category first
 
 
+def test_greedy_pick_sees_all_rows(spark):
+    """One host holds the 600 best rows, the priority category comes last; two caps against the plain rule."""
+    rows = [(i, "c0", "h0", f"k{i % 7}") for i in range(600)] + [(600 + i, "c1" if i < 90 else "c2", f"h{i % 50}" if i % 11 else None, f"k{i % 3}") for i in range(100)]
+    df = spark.createDataFrame(rows, "i int, category string, host string, kind string").repartition(6)
+    for caps in ({"host": 2}, {"host": 2, "kind": 4}, {"host": 3, "kind": 30}):
+        used, want = Counter(), []
+        for options in ([r for r in rows if r[1] == "c2"], [r for r in rows if r[1] == "c1"], *[[r] for r in rows]):
+            for r in options:
+                keys = [(c, r[{"host": 2, "kind": 3}[c]]) for c in caps]
+                if len(want) < 30 and r[0] not in want and all(used[k] < caps[k[0]] for k in keys):
+                    used.update(keys)
+                    want.append(r[0])
+                    break
+        got = selection.greedy_pick(df, [F.col("i").asc()], 30, "category", caps, ["c2", "c1"]).orderBy("pick").collect()
+        assert [r.i for r in got] == want and [r.pick for r in got] == list(range(1, len(want) + 1))
+
+
 def test_round_robin_null_group(spark):
     df = spark.createDataFrame([("a", 1), ("a", 2), ("b", 3), (None, 4)], "s string, i int")
     assert [r.i for r in selection.round_robin(df, "s", [F.col("i").asc()], 3).collect()] == [1, 4, 3]

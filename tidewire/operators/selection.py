@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewire.operators.ranking import distributed_rank, distributed_running_sum, top_n_per_group
+from tidewire.runtime import fresh, staged
 
 
 def round_robin(df: DataFrame, key: str, newest: Sequence[Column], n: int) -> DataFrame:
@@ -67,38 +68,43 @@ def capped_per_key(df: DataFrame, key: Column, order: Sequence[Column], cap: int
     return top_n_per_group(df.withColumn("_key", key), ["_key"], order, cap).drop("_key")
 
 
-def greedy_pick(df: DataFrame, order: Sequence[Column], n: int, category: str, caps: dict[str, int], priority: Sequence[str], pool: int = 500) -> DataFrame:
-    """Up to ``n`` rows of the first ``pool``: one of each priority category, then in order, under joint caps.
+def greedy_pick(df: DataFrame, order: Sequence[Column], n: int, category: str, caps: dict[str, int], priority: Sequence[str]) -> DataFrame:
+    """Up to ``n`` rows: one of each priority category, then in order, under joint caps. ``order`` must end in a unique key.
 
-    ``caps`` maps a column to how many picked rows may have the same value there. Each pick depends on the ones before,
-    so the pool, which is bounded, is worked on in one task. Result has ``pick``, its 1-based position.
+    ``caps`` maps a column to how many picked rows may have the same value there; nulls are one value. Rows alike in all
+    capped columns are taken or refused alike, so only the first of each such group, and of each such group and category,
+    can be picked. Each pick depends on the ones before: these rows are read in order by one task that holds the picks
+    only and stops at the last one. Result has ``pick``, its 1-based position.
     """
-    top = df.orderBy(*order).limit(pool)
-    ranked = top.withColumn("_pos", F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(*order)))
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
-
-    def choose(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("_pos").reset_index(drop=True)
+    keys = list(caps)
+    most = max(min([n, *caps.values()]), 0)
+    first = top_n_per_group(df, keys, order, most)
+    wanted = df.filter(F.col(category).isin(list(priority)))
+    leading = top_n_per_group(wanted, [*keys, category], order, max([0, *Counter(priority).values()]))
+    turn, pos = fresh(df, "_turn", "_pos")
+    pool = staged(first.unionByName(leading).distinct().withColumn(pos, F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(*order))), "pool")
+    turns = F.array(*[F.when(F.col(category) == v, F.lit(i)) for i, v in enumerate(priority)], F.lit(len(priority)))
+    read = pool.select(pos, F.explode(F.array_compact(turns)).alias(turn), *[F.col(c).cast("string").alias(f"_cap{i}") for i, c in enumerate(keys)])
+    limits = [caps[c] for c in keys]
+
+    def choose(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         used: Counter[tuple] = Counter()
-        picked: list[int] = []
-
-        def take(i: int) -> bool:
-            keys = [(c, rows.at[i, c]) for c in caps]
-            if i in picked or len(picked) >= n or any(used[k] >= caps[k[0]] for k in keys):
-                return False
-            used.update(keys)
-            picked.append(i)
-            return True
-
-        for value in priority:
-            for i in rows.index[rows[category] == value]:
-                if take(i):
-                    break
-        for i in rows.index:
-            take(i)
-        return rows.loc[picked].assign(pick=range(1, len(picked) + 1)).drop(columns="_pos")
-
-    return ranked.groupBy(F.lit(0).alias("_g")).applyInPandas(choose, f"{fields}, pick int")
+        picked: dict[int, int] = {}
+        served: set[int] = set()
+        for batch in batches:
+            for at, now, *values in batch.itertuples(index=False, name=None):
+                own = [(i, None if pd.isna(v) else v) for i, v in enumerate(values)]
+                if len(picked) < n and at not in picked and now not in served and all(used[k] < limits[k[0]] for k in own):
+                    used.update(own)
+                    picked[at] = len(picked) + 1
+                    if now < len(priority):
+                        served.add(now)
+            if len(picked) >= n:
+                break
+        yield pd.DataFrame(list(picked.items()), columns=["_at", "pick"])
+
+    picks = read.repartition(1).sortWithinPartitions(turn, pos).mapInPandas(choose, "_at int, pick int")
+    return pool.join(F.broadcast(picks), F.col(pos) == F.col("_at")).select(*[pool[c] for c in df.columns], "pick")
 
 
 def rebalanced(df: DataFrame, bucket: str, priority: Sequence[str], caps: dict[str, int], order: Sequence[Column], n: int) -> DataFrame:

@@ -42,7 +42,7 @@ def pick_per_host(spark: SparkSession, sf_dir: str) -> DataFrame:
 def pick_must_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     a = _articles(spark, sf_dir).filter("source_id IS NOT NULL").withColumn("category", F.concat(F.lit("c"), (F.length("url") % 5).cast("string")))
     order = [F.col("quality_score").desc_nulls_last(), F.col("extracted_at").desc(), F.col("id").asc()]
-    return selection.greedy_pick(a, order, 30, "category", {"source_id": 2}, ["c3", "c1"], pool=400).select("id", "category", "source_id", "pick")
+    return selection.greedy_pick(a, order, 30, "category", {"source_id": 2}, ["c3", "c1"]).select("id", "category", "source_id", "pick")
 
 
 def pick_rebalanced(spark: SparkSession, sf_dir: str) -> DataFrame:
