@@ -54,6 +54,21 @@ def test_chunks(spark, block):
     assert selection.chunks_by_size(df.limit(0), [F.col("i").asc()], "size", 20).count() == 0
 
 
+@pytest.mark.parametrize("sizes", [[None, 1, 5, 9, 40, 0], [3], [0, 0, 30], [1, 2, 3, 4, 5, 6, 7]])
+def test_chunks_do_not_restart(spark, sizes):
+    """More rows than a block used to hold, over several partitions: the plain greedy rule throughout."""
+    rnd = random.Random(5)
+    rows = [(i, rnd.choice(sizes)) for i in range(12_000)]
+    df = spark.createDataFrame(rows, "i int, size int").repartition(5)
+    got = {r.i: (r.size, r.chunk) for r in selection.chunks_by_size(df, [F.col("i").asc()], "size", 20).collect()}
+    number, held = 0, 0
+    for i, n in rows:
+        if i and held + (n or 0) > 20:
+            number, held = number + 1, 0
+        held += n or 0
+        assert got[i] == (n, number)
+
+
 def test_greedy_pick(spark):
     rows = [(i, f"c{i % 3}", f"h{i % 2}") for i in range(20)]
     df = spark.createDataFrame(rows, "i int, category string, host string")

@@ -5,9 +5,12 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from tidewire.operators.ranking import distributed_rank, distributed_running_sum, top_n_per_group
 from tidewire.runtime import fresh, staged
@@ -33,13 +36,96 @@ def batches(df: DataFrame, order: Sequence[Column], size: int, name: str = "batc
     return ranked.withColumn(name, F.floor((F.col("_rank") - 1) / size)).select(*df.columns, name)
 
 
-def chunks_by_size(df: DataFrame, order: Sequence[Column], size: str, most: int, block: int = 10_000, name: str = "chunk") -> DataFrame:
+def chunks_by_size(df: DataFrame, order: Sequence[Column], size: str, most: int, block: int | None = None, name: str = "chunk") -> DataFrame:
     """``df`` with the number of its chunk: in order, a new chunk begins where the sizes would exceed ``most``.
 
-    Where a chunk ends depends on all chunks before it. To keep that in bounded pieces, the order is cut into blocks of
-    ``block`` rows at which a chunk always ends; up to that many rows the result is the plain greedy one. A row larger than
-    ``most`` is a chunk of its own. Null sizes count 0.
+    ``order`` must end in a unique key. A row larger than ``most`` is a chunk of its own. Null and negative sizes count 0.
+    With ``block`` a chunk also ends after each ``block`` rows.
     """
+    return _chunks_in_blocks(df, order, size, most, block, name) if block else _chunks(df, order, size, most, name)
+
+
+def _chunks(df: DataFrame, order: Sequence[Column], size: str, most: int, name: str) -> DataFrame:
+    """The greedy chunks over range partitions.
+
+    Where a chunk ends depends on all chunks before it, but a partition needs to know only how full the chunk is that is
+    open at its start. For each row that could be its first chunk start (none lies behind the first ``most``) the
+    partition tells how many chunks follow and how full the last is; these short tables are chained from partition to
+    partition, and then each partition is numbered by itself.
+    """
+    piece, own = fresh(df, "_piece", "_size")
+    sized = df.withColumn(own, F.greatest(F.coalesce(F.col(size), F.lit(0)), F.lit(0)).cast("double"))
+    placed = staged(sized.repartitionByRange(*order).withColumn(piece, F.spark_partition_id()), "chunked")
+    sorted_by = lambda rows: rows.repartition(piece).sortWithinPartitions(piece, *order)
+
+    def starts(at: int, sizes: np.ndarray) -> pd.DataFrame:
+        upto = np.cumsum(sizes)
+        before = upto - sizes
+        after = np.maximum(np.searchsorted(upto, before + most, "right"), np.arange(len(sizes)) + 1)
+        # row 0, and rows that add to the sum, up to the first where the sum alone exceeds a chunk
+        j = np.arange(min(np.searchsorted(upto, most, "right") + 1, len(sizes)))
+        j = j[(j == 0) | (sizes[j] > 0)]
+        now, last, count = j.copy(), j.copy(), np.zeros(len(j), "int64")
+        while (live := now < len(sizes)).any():
+            last[live] = now[live]
+            count[live] += 1
+            now[live] = after[now[live]]
+        return pd.DataFrame({"_piece": at, "_upto": upto[j], "_count": count, "_held": upto[-1] - before[last], "_total": upto[-1]})
+
+    def tables(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, parts = None, []
+        for batch in batches:
+            pieces, sizes = batch.column(0).to_numpy(zero_copy_only=False), batch.column(1).to_numpy(zero_copy_only=False)
+            cuts = [0, *(np.flatnonzero(np.diff(pieces)) + 1), len(pieces)]
+            for a, b in zip(cuts, cuts[1:], strict=False):
+                if a == b:
+                    continue
+                if parts and pieces[a] != at:
+                    yield pa.RecordBatch.from_pandas(starts(at, np.concatenate(parts)), preserve_index=False)
+                    parts = []
+                at = int(pieces[a])
+                parts.append(sizes[a:b])
+        if parts:
+            yield pa.RecordBatch.from_pandas(starts(at, np.concatenate(parts)), preserve_index=False)
+
+    def chain(rows: pd.DataFrame) -> pd.DataFrame:
+        held, number, out = None, -1, []
+        for at, own_rows in rows.sort_values(["_piece", "_upto"], kind="stable").groupby("_piece"):
+            # the very first row opens chunk 0, as if a full chunk stood before it
+            entry = float("inf") if held is None else held
+            out.append((at, entry, number))
+            later = own_rows[own_rows["_upto"] > most - entry]
+            if len(later):
+                number, held = number + int(later["_count"].iloc[0]), later["_held"].iloc[0]
+            else:
+                held = entry + own_rows["_total"].iloc[0]
+        return pd.DataFrame(out, columns=["_at", "_entry", "_number"])
+
+    made = sorted_by(placed.select(piece, own, *[F.col(f"`{c}`") for c in df.columns])).select(piece, own).mapInArrow(tables, "_piece long, _upto double, _count long, _held double, _total double")
+    entries = staged(made.groupBy(F.lit(0).alias("_g")).applyInPandas(chain, "_at int, _entry double, _number long"), "entries")
+    entered = sorted_by(placed.join(F.broadcast(entries), F.col(piece) == F.col("_at")))
+    at = {c: entered.columns.index(c) for c in (piece, own, "_entry", "_number")}
+    kept, columns = [entered.columns.index(c) for c in df.columns], [*df.columns, name]
+
+    def number_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, held, number = None, 0.0, 0
+        for batch in batches:
+            out = []
+            for here, n, entry, first in zip(*[batch.column(at[c]).to_pylist() for c in (piece, own, "_entry", "_number")], strict=True):
+                if here != current:
+                    current, held, number = here, entry, first
+                if held + n > most:
+                    number, held = number + 1, 0.0
+                held += n
+                out.append(number)
+            yield pa.RecordBatch.from_arrays([*[batch.column(i) for i in kept], pa.array(out, pa.int64())], names=columns)
+
+    fields = StructType([*df.schema.fields, StructField(name, LongType())])
+    return entered.mapInArrow(number_rows, fields)
+
+
+def _chunks_in_blocks(df: DataFrame, order: Sequence[Column], size: str, most: int, block: int, name: str) -> DataFrame:
+    """The greedy chunks of each block of rows, numbered on from block to block."""
     whole = df.withColumn("_all", F.lit(0))
     ranked = distributed_rank(whole, ["_all"], order, "_rank").withColumn("_block", F.floor((F.col("_rank") - 1) / block)).drop("_all")
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in ranked.schema.fields)

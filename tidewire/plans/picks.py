@@ -31,7 +31,7 @@ def pick_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def pick_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = table(spark, sf_dir, "documents").select("doc_id", F.col("n_chars").alias("size"))
-    return selection.chunks_by_size(d, [F.col("doc_id").asc()], "size", 20_000, block=5000)
+    return selection.chunks_by_size(d, [F.col("doc_id").asc()], "size", 20_000)
 
 
 def pick_per_host(spark: SparkSession, sf_dir: str) -> DataFrame:
