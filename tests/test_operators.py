@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tidewire.functions import arrays, pages, rules, urls
 from tidewire.operators import matching, selection, state, store
 from tidewire.operators.ranking import distributed_rank, distributed_running_sum, top_n_per_group
+from tidewire.plans import web
 from tidewire.sources import files
 from tidewire.sources import pages as saved
 from tidewire.streaming import flows
@@ -196,6 +197,13 @@ def test_feeds_and_sitemaps():
     assert saved.sitemap_entries("<broken") == saved.sitemap_entries(None) == saved.feed_entries("") == []
 
 
+def test_feeds_hold_all_items(spark, tmp_path):
+    rows = [("rss", f"t{i} & <x>", "hot" if i % 3 else "cold", f"https://x/{i}?a=1&b=2") for i in range(700)] + [("rss", None, "hot", "https://x/none"), ("sitemap", "t", "hot", "https://x/map")]
+    spark.createDataFrame(rows, "discovery_method string, title string, source_id string, url string").write.parquet(str(tmp_path / "discovered_urls.parquet"))
+    got = [(r.source_id, r.link) for r in web.web_feeds(spark, str(tmp_path)).collect()]
+    assert sorted(got) == sorted((r[2], r[3]) for r in rows[:700])
+
+
 def test_links(spark):
     df = spark.createDataFrame([("k", "https://www.a.b/", '<a href="/x"> <a href="https://a.b/x"><a href="https://c.d/y"><a href="/x">')], "k string, base string, h string")
     assert [tuple(r) for r in saved.internal_links(df, "k", "base", "h").collect()] == [("k", 0, "https://a.b/x")]

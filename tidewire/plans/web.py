@@ -6,9 +6,13 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidewire.operators import matching
+from tidewire.operators.ranking import distributed_rank
 from tidewire.runtime import table
 from tidewire.sources import files, pages
 
+#: Items in one built feed.
+FEED_ITEMS = 50
+
 
 def web_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = pages.paragraphs(table(spark, sf_dir, "raw_pages"), "raw_path", "html")
@@ -21,12 +25,14 @@ def web_links(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def web_feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Feeds built from the discovered rows of each source, then read as a collector would."""
+    """Feeds of up to 50 items built from the discovered rows of each source, then read as a collector would."""
     d = table(spark, sf_dir, "discovered_urls").filter("discovery_method = 'rss' AND title IS NOT NULL AND source_id IS NOT NULL").select("source_id", "url", "title").distinct()
     esc = lambda c: F.replace(F.replace(c, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;"))
     clean = F.regexp_replace(F.col("title"), r"[\x00-\x1f]", " ")
     item = F.concat(F.lit("<item><title>"), esc(clean), F.lit("</title><link>"), esc(F.col("url")), F.lit("</link></item>"))
-    bodies = d.groupBy("source_id").agg(F.concat(F.lit("<rss><channel>"), F.array_join(F.slice(F.array_sort(F.collect_list(item)), 1, 50), ""), F.lit("</channel></rss>")).alias("body"))
+    ranked = distributed_rank(d, ["source_id"], [F.col("title").asc(), F.col("url").asc_nulls_last()])
+    feeds = ranked.groupBy("source_id", F.floor((F.col("rank") - 1) / FEED_ITEMS).alias("feed"))
+    bodies = feeds.agg(F.concat(F.lit("<rss><channel>"), F.array_join(F.array_sort(F.collect_list(item)), ""), F.lit("</channel></rss>")).alias("body"))
     return pages.feed_rows(bodies, "source_id", "body").select("source_id", "link")
 
 
