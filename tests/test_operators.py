@@ -238,6 +238,25 @@ def test_matching(spark):
     assert {r.i for r in matching.distinct_bullets(b, "g", "t", "i").collect()} == {1, 3, 4}
 
 
+def test_urls_by_title(spark):
+    w = [
+        ("https://a.b/news/the-long-story-of-it", "Rates rise in Ulkast"), ("https://a.b/short", "Harvest late in the northern valley"), ("https://e.f/gone-long-ago", "Oil falls as exports grow"),
+        ("https://a.b/nothing-like-it-at-all", "zq"), ("https://a.b/no-headline-here", None),
+    ]
+    k = [
+        ("https://a.b/news/the-long-story-of-it-1", "Football results of the week"), ("https://a.b/news/the-long-story-of-it-123", "Rates rise in Ulkast"), ("https://a.b/x/1", "Harvest is late in northern valley"),
+        ("https://c.d/y/2", "Oil falls as exports grow again"), ("https://c.d/y/3", None),
+    ]
+    got = {r.raw_url: r.url for r in matching.resolved_urls(spark.createDataFrame(w, "raw_url string, headline string"), spark.createDataFrame(k, "url string, title string")).collect()}
+    assert got == {w[0][0]: k[1][0], w[1][0]: k[2][0], w[2][0]: k[3][0]}
+
+
+def test_compacted_alias(spark):
+    texts = spark.createDataFrame([(1, "Open AI said"), (2, "the open-ai lab"), (3, "OpenAI"), (4, "open sea"), (5, None)], "i int, t string")
+    names = spark.createDataFrame([("o", ["--", "OpenAI"])], "entity string, aliases array<string>")
+    assert sorted(tuple(r) for r in matching.entity_hits(texts, "i", "t", names).collect()) == [(1, "o", "openai"), (2, "o", "openai"), (3, "o", "openai")]
+
+
 def test_split_late(spark):
     df = spark.createDataFrame([(1, datetime(2025, 1, 3)), (2, datetime(2025, 1, 1)), (3, None)], "i int, at timestamp")
     good, late = flows.split_late(df, "at", "2025-01-03 12:00:00", "24 HOURS")

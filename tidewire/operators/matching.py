@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import re
+from collections import Counter
 from collections.abc import Iterator
 from difflib import SequenceMatcher
+from functools import cache
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -12,6 +15,7 @@ from pyspark.sql.types import DoubleType
 
 from tidewire.functions import urls
 from tidewire.operators.ranking import top_n_per_group
+from tidewire.runtime import staged
 
 
 @F.pandas_udf(DoubleType())
@@ -33,23 +37,86 @@ def overlap(a: Column, b: Column) -> Column:
     return F.when(F.size(a) > 0, F.size(F.array_intersect(a, b)) / F.size(a)).otherwise(0.0)
 
 
-def resolved_urls(wanted: DataFrame, known: DataFrame, least: float = 0.72, contained: float = 0.82) -> DataFrame:
+@cache
+def _letters(text: str) -> Counter[str]:
+    return Counter(text)
+
+
+def sequence_ratio_from(least: float):  # noqa: ANN201
+    """``sequence_ratio`` where that is at least ``least``, else 0: pairs whose letters cannot reach it are not aligned."""
+
+    @F.pandas_udf(DoubleType())
+    def ratio(a: pd.Series, b: pd.Series) -> pd.Series:
+        out = []
+        for x, y in zip(a.fillna(""), b.fillna(""), strict=True):
+            if x == y:
+                out.append(1.0)
+            elif 2 * (_letters(x) & _letters(y)).total() < least * (len(x) + len(y)):
+                out.append(0.0)
+            else:
+                r = SequenceMatcher(None, x, y).ratio()
+                out.append(r if r >= least else 0.0)
+        if _letters.cache_info().currsize > 50_000:
+            _letters.cache_clear()
+        return pd.Series(out, dtype="float64")
+
+    return ratio
+
+
+def _could_reach(a: Column, b: Column, least: float) -> Column:
+    """Whether the lengths of two strings allow a similarity of ``least``."""
+    return 2 * F.least(F.length(a), F.length(b)) >= least * (F.length(a) + F.length(b)) - 1e-9
+
+
+def resolved_urls(wanted: DataFrame, known: DataFrame, least: float = 0.72, contained: float = 0.82, strong: float = 0.48) -> DataFrame:
     """(raw_url, url, score): the known URL that each wanted one stands for.
 
-    The same page key scores 1. Otherwise the paths of URLs of the same host are compared, a path within the other scores
-    ``contained`` at least, and the best candidate at ``least`` or more wins, ties by the smaller URL. Blocking by host
-    keeps the comparisons within a site; both sides are made distinct before.
+    ``wanted`` is (raw_url) or (raw_url, headline), ``known`` (url) or (url, title); of several headlines or titles of a URL
+    the smallest counts. The same page key scores 1. Otherwise the paths of URLs of the same host are compared, a path
+    within the other scores ``contained`` at least; where both headline and title are there, the score is multiplied by
+    0.55 + 0.45 x the title score. The best candidate at ``least`` or more wins, ties by the smaller URL. What is left goes
+    to the best title of its host, then of any host, at ``strong`` or more. The title score is the similarity of headline
+    and title, or 0.7 x the share of the headline's words in the title if that is more.
     """
-    w = wanted.select("raw_url").filter(F.col("raw_url").isNotNull()).distinct().select("raw_url", urls.page_query_key(F.col("raw_url")).alias("k"), urls.host(F.col("raw_url")).alias("h"), urls.path(F.col("raw_url")).alias("p"))
-    k = known.select("url").filter(F.col("url").isNotNull()).select(urls.page_query_key(F.col("url")).alias("url")).distinct()
-    exact = w.join(k, F.col("k") == F.col("url")).select("raw_url", "url", F.lit(1.0).alias("score"))
+    given = wanted if "headline" in wanted.columns else wanted.withColumn("headline", F.lit(None).cast("string"))
+    titled = known if "title" in known.columns else known.withColumn("title", F.lit(None).cast("string"))
+    text = lambda c: F.when(F.trim(F.col(c)) != "", F.lower(F.trim(F.col(c))))
+    w = given.filter(F.col("raw_url").isNotNull()).groupBy("raw_url").agg(F.min(text("headline")).alias("hl"))
+    w = staged(w.select("raw_url", "hl", words(F.col("hl")).alias("hw"), urls.page_query_key(F.col("raw_url")).alias("k"), urls.host(F.col("raw_url")).alias("h"), urls.path(F.col("raw_url")).alias("p")), "wanted")
+    k = titled.filter(F.col("url").isNotNull()).select(urls.page_query_key(F.col("url")).alias("url"), text("title").alias("title")).groupBy("url").agg(F.min("title").alias("title"))
+    k = staged(k.select("url", "title", words(F.col("title")).alias("tw"), urls.host(F.col("url")).alias("h"), urls.path(F.col("url")).alias("q")), "known")
+    best = lambda scored: scored.groupBy("raw_url").agg(F.min_by(F.struct("url", "score"), F.struct(-F.col("score"), F.col("url"))).alias("b")).select("raw_url", "b.url", "b.score")
+
+    def title_score(at_least: float) -> Column:
+        return F.greatest(sequence_ratio_from(at_least)(F.col("hl"), F.col("title")), 0.7 * overlap(F.col("hw"), F.col("tw")))
+
+    exact = w.join(k.select("url"), F.col("k") == F.col("url")).select("raw_url", "url", F.lit(1.0).alias("score"))
     left = w.join(exact.select("raw_url"), "raw_url", "left_anti").filter((F.col("h") != "") & (F.length("p") >= 10))
-    cand = left.join(k.select("url", urls.host(F.col("url")).alias("h"), urls.path(F.col("url")).alias("q")), "h")
-    score = sequence_ratio(F.col("p"), F.col("q"))
     inside = F.col("p").contains(F.col("q")) | F.col("q").contains(F.col("p"))
-    scored = cand.withColumn("score", F.when(inside, F.greatest(score, F.lit(contained))).otherwise(score)).filter(F.col("score") >= least)
-    best = scored.groupBy("raw_url").agg(F.min_by(F.struct("url", "score"), F.struct(-F.col("score"), F.col("url"))).alias("b")).select("raw_url", "b.url", "b.score")
-    return exact.unionByName(best)
+    cand = left.join(k, "h").filter(inside | _could_reach(F.col("p"), F.col("q"), least))
+    score = sequence_ratio_from(least)(F.col("p"), F.col("q"))
+    near = cand.withColumn("path_score", F.when(inside, F.greatest(score, F.lit(contained))).otherwise(score)).filter(F.col("path_score") >= least)
+    factor = F.when(F.col("hl").isNotNull() & F.col("title").isNotNull(), 0.55 + 0.45 * title_score(0.0)).otherwise(1.0)
+    by_path = near.withColumn("score", F.least(F.lit(1.0), F.col("path_score") * factor)).filter(F.col("score") >= least)
+    found = staged(exact.unionByName(best(by_path)), "resolved")
+
+    heads = k.filter("title IS NOT NULL")
+    possible = _could_reach(F.col("hl"), F.col("title"), strong) | F.arrays_overlap("hw", "tw")
+    open_ = w.filter("hl IS NOT NULL").join(found.select("raw_url"), "raw_url", "left_anti").select("raw_url", "hl", "hw", "h")
+    for here in (True, False):
+        rest = staged(open_, "open")
+        if rest.isEmpty():
+            break
+        # the same title is the best there is and needs no comparing
+        on = ["hl", "h"] if here else ["hl"]
+        same = best(rest.join(heads.withColumn("hl", F.col("title")).select("url", *on), on).withColumn("score", F.lit(1.0)))
+        others = rest.join(same.select("raw_url"), "raw_url", "left_anti")
+        pairs = others.join(heads, "h") if here else others.drop("h").crossJoin(heads.drop("h"))
+        scored = pairs.filter(possible).withColumn("score", title_score(strong)).filter(F.col("score") >= strong)
+        matched = staged(same.unionByName(best(scored)), "by_title")
+        found = found.unionByName(matched)
+        open_ = rest.join(matched.select("raw_url"), "raw_url", "left_anti")
+    return found
 
 
 def headline_matches(headlines: DataFrame, articles: DataFrame, least: float = 0.36) -> DataFrame:
@@ -71,20 +138,27 @@ def headline_matches(headlines: DataFrame, articles: DataFrame, least: float = 0
     return scored.groupBy("headline").agg(F.min_by(F.struct("id", "score"), F.struct(-F.col("score"), F.col("id"))).alias("b")).select("headline", "b.id", "b.score")
 
 
-def entity_hits(texts: DataFrame, key: str, text: str, watchlist: DataFrame) -> DataFrame:
-    """(key, entity, alias): for each text and entity, the first alias, in list order, that the text holds as a substring.
+def compacted(text: str) -> str:
+    """A text in lower case, of which only ASCII letters and digits and Han characters are left."""
+    return re.sub(r"[^0-9a-z\u3400-\u9fff]+", "", text.lower())
+
+
+def entity_hits(texts: DataFrame, key: str, text: str, watchlist: DataFrame, compact: bool = True) -> DataFrame:
+    """(key, entity, alias): for each text and entity, the first alias, in list order, that the text holds.
 
-    ``watchlist`` (entity, aliases) is a small dimension; it goes to the tasks as one literal, each text is scanned once.
+    The text holds an alias as a substring or, with ``compact``, where both are compacted, so spaces and hyphens do not
+    count. ``watchlist`` (entity, aliases) is a small dimension; it goes to the tasks as one literal, each text is scanned once.
     """
-    rows = [(r.entity, [a.lower() for a in r.aliases if a]) for r in watchlist.orderBy("entity").collect()]
+    rows = [(r.entity, [(a.lower(), compacted(a) if compact else "") for a in r.aliases if a]) for r in watchlist.orderBy("entity").collect()]
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out = []
             for k, t in zip(batch["_key"], batch["_text"], strict=True):
                 low = (t or "").lower()
+                close = compacted(low) if compact else ""
                 for entity, aliases in rows:
-                    hit = next((a for a in aliases if a in low), None)
+                    hit = next((a for a, c in aliases if a in low or (c and c in close)), None)
                     if hit is not None:
                         out.append((k, entity, hit))
             yield pd.DataFrame(out, columns=["_key", "entity", "alias"])

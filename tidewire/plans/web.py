@@ -47,17 +47,17 @@ def web_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def match_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Damaged article URLs, resolved against the discovered ones of their host."""
-    a = table(spark, sf_dir, "articles").select("url").distinct()
-    wanted = a.select(F.concat(F.regexp_replace("url", r"-?\d+\.html?$", ""), F.lit(".html")).alias("raw_url"))
-    found = matching.resolved_urls(wanted, table(spark, sf_dir, "articles").select("url"))
+    """Damaged article URLs, resolved against the discovered ones by path and title."""
+    a = table(spark, sf_dir, "articles").select("url", F.col("title").alias("headline"))
+    wanted = a.select(F.concat(F.regexp_replace("url", r"-?\d+\.html?$", ""), F.lit(".html")).alias("raw_url"), "headline")
+    found = matching.resolved_urls(wanted, table(spark, sf_dir, "discovered_urls").select("url", "title"))
     return found.select("raw_url", "url", F.round("score", 6).alias("score"))
 
 
 def match_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Which sources each article names, by title or domain."""
+    """Which sources each article names, by title or domain as plain substrings, as its SQL says."""
     n = table(spark, sf_dir, "source_profiles").filter("html_title IS NOT NULL").select(F.col("source_id").alias("entity"), F.array(F.col("html_title"), F.col("domain")).alias("aliases"))
-    return matching.entity_hits(table(spark, sf_dir, "articles").select("id", "content").distinct(), "id", "content", n)
+    return matching.entity_hits(table(spark, sf_dir, "articles").select("id", "content").distinct(), "id", "content", n, compact=False)
 
 
 QUERIES = {k: v for k, v in list(globals().items()) if k.startswith(("web_", "match_"))}
