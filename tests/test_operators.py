@@ -251,6 +251,16 @@ def test_urls_by_title(spark):
     assert got == {w[0][0]: k[1][0], w[1][0]: k[2][0], w[2][0]: k[3][0]}
 
 
+def test_common_words_and_late_bullets(spark):
+    rows = [("g", i, "rates rise again" + "!" * (i % 3)) for i in range(300)] + [("g", 300, "oil falls"), ("h", 1, "oil falls")]
+    b = spark.createDataFrame(rows, "g string, i int, t string").repartition(4)
+    assert {(r.g, r.i) for r in matching.distinct_bullets(b, "g", "t", "i").collect()} == {("g", 0), ("g", 300), ("h", 1)}
+    # the best title shares only the word that many titles have; the rare one stands in a poorer title
+    a = spark.createDataFrame([(f"n{i:02}", f"markets {'x' * 40}{i}") for i in range(30)] + [("best", "Markets up in May"), ("rare", "Zebra")], "id string, title string")
+    h = spark.createDataFrame([("markets up in may zebra",)], "headline string")
+    assert [r.id for r in matching.headline_matches(h, a).collect()] == ["best"]
+
+
 def test_compacted_alias(spark):
     texts = spark.createDataFrame([(1, "Open AI said"), (2, "the open-ai lab"), (3, "OpenAI"), (4, "open sea"), (5, None)], "i int, t string")
     names = spark.createDataFrame([("o", ["--", "OpenAI"])], "entity string, aliases array<string>")

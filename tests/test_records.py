@@ -38,3 +38,10 @@ def test_clusters(spark):
     one = spark.sql("SELECT TIMESTAMP '2025-01-02 00:00:00' a, TIMESTAMP '2025-01-01 00:00:00' b")
     row = one.select(clusters.better_time(F.col("a"), F.col("b"), F.lit(False), F.lit(True)).alias("t"), clusters.age_hours(F.col("b"), F.col("a")).alias("h"), clusters.age_hours(F.col("a"), F.col("b")).alias("z")).first()
     assert (row.t.day, row.h, row.z) == (1, 24, 0)
+
+
+def test_hot_cluster_keeps_later_urls(spark):
+    rows = [(i, "c", -i, ["u"] if i < 900 else [f"v{i}", "u"]) for i in range(1000)]
+    df = spark.createDataFrame(rows, "id int, c string, n int, urls array<string>").repartition(5)
+    got = clusters.merged(df, "c", "id", [F.col("n").desc(), F.col("id").asc()], ["n"], "urls", cap=4).first()
+    assert (got.id, got.members, got.urls) == (0, 1000, ["u", "v900", "v901", "v902"])

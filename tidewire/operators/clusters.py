@@ -4,29 +4,30 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewire.functions.arrays import ordered_distinct
-from tidewire.operators.ranking import top_n_per_group
+from tidewire.operators.ranking import distributed_rank, top_n_per_group
 
 
-def merged(df: DataFrame, cluster: str, id_col: str, lead: Sequence[Column], sums: Sequence[str], urls: str, cap: int = 20, rows_per_cluster: int = 500) -> DataFrame:
+def merged(df: DataFrame, cluster: str, id_col: str, lead: Sequence[Column], sums: Sequence[str], urls: str, cap: int = 20) -> DataFrame:
     """One row for each cluster: its leading row's id, the largest of each number, and the union of the url arrays.
 
     The urls of the leading rows come first; ``cap`` of them stay. A null cluster is no cluster: such rows pass alone.
-    Sizes count all rows, the url union reads the ``rows_per_cluster`` leading ones, so a hot cluster stays bounded.
+    ``lead`` must end in a unique key. Rows are ranked over range partitions and each url of a cluster counts at its first
+    place, so a hot cluster sends a task no more than ``cap`` urls of each partition.
     """
     key = F.coalesce(F.col(cluster).cast("string"), F.concat(F.lit("\u0001"), F.col(id_col).cast("string")))
     rows = df.withColumn("_c", key)
     size = rows.groupBy("_c").agg(F.count(F.lit(1)).alias("members"), *[F.max(c).alias(c) for c in sums])
-    top = top_n_per_group(rows, ["_c"], list(lead), rows_per_cluster)
-    placed = top.withColumn("_r", F.row_number().over(Window.partitionBy("_c").orderBy(*lead)))
-    item = F.struct("_r", F.col(id_col).alias("i"), F.col(urls).alias("u"))
-    lists = placed.groupBy("_c").agg(F.array_sort(F.collect_list(item)).alias("l"))
-    flat = F.flatten(F.transform("l", lambda x: F.coalesce(x["u"], F.array().cast("array<string>"))))
-    out = lists.join(size, "_c").select(F.col("l")[0]["i"].alias(id_col), "members", *sums, ordered_distinct(flat, cap).alias(urls))
-    return out
+    placed = distributed_rank(rows, ["_c"], lead, "_r")
+    first = placed.filter("_r = 1").select("_c", F.col(id_col))
+    listed = placed.select("_c", "_r", F.posexplode(urls).alias("_p", "_u")).filter("_u IS NOT NULL")
+    at = listed.groupBy("_c", "_u").agg(F.min(F.struct("_r", "_p")).alias("_at"))
+    leading = top_n_per_group(at, ["_c"], [F.col("_at").asc()], cap)
+    lists = leading.groupBy("_c").agg(F.transform(F.array_sort(F.collect_list(F.struct("_at", "_u"))), lambda x: x["_u"]).alias("_l"))
+    out = first.join(size, "_c").join(lists, "_c", "left")
+    return out.select(id_col, "members", *sums, F.coalesce("_l", F.array().cast("array<string>")).alias(urls))
 
 
 def best_of_cluster(df: DataFrame, cluster: Column, id_col: str, order: Sequence[Column]) -> DataFrame:

@@ -9,12 +9,12 @@ from difflib import SequenceMatcher
 from functools import cache
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 from tidewire.functions import urls
-from tidewire.operators.ranking import top_n_per_group
 from tidewire.runtime import staged
 
 
@@ -122,17 +122,12 @@ def resolved_urls(wanted: DataFrame, known: DataFrame, least: float = 0.72, cont
 def headline_matches(headlines: DataFrame, articles: DataFrame, least: float = 0.36) -> DataFrame:
     """(headline, id, score): the article whose title fits a headline best: 0.35 words + 0.65 sequence.
 
-    Candidates share a word of four characters or more; words that more than a thousandth of the articles (ten at least)
-    have are no blocking keys as long as the headline has another one.
+    Candidates share a word of four characters or more, however common it is.
     """
     h = headlines.filter(F.col("headline").isNotNull()).select("headline").distinct().withColumn("w", words(F.col("headline")))
     a = articles.filter(F.col("title").isNotNull()).select("id", "title", words(F.col("title")).alias("v"))
-    common = a.select(F.explode("v").alias("x")).groupBy("x").agg(F.count(F.lit(1)).alias("n"))
-    total = a.agg(F.greatest(F.lit(10), F.count(F.lit(1)) / 1000).alias("most"))
-    keyed = h.select("headline", "w", F.explode("w").alias("x")).join(common, "x").join(F.broadcast(total))
-    rare = Window.partitionBy("headline")
-    keyed = keyed.withColumn("least_n", F.min("n").over(rare)).filter((F.col("n") <= F.col("most")) | (F.col("n") == F.col("least_n")))
-    pairs = keyed.select("headline", "w", "x").join(a.withColumn("x", F.explode("v")), "x").select("headline", "w", "id", "title", "v").distinct()
+    keyed = h.select("headline", "w", F.explode("w").alias("x"))
+    pairs = keyed.join(a.withColumn("x", F.explode("v")), "x").select("headline", "w", "id", "title", "v").distinct()
     score = F.lit(0.35) * overlap(F.col("w"), F.col("v")) + F.lit(0.65) * sequence_ratio(F.lower("headline"), F.lower("title"))
     scored = pairs.withColumn("score", F.round(score, 6)).filter(F.col("score") >= least)
     return scored.groupBy("headline").agg(F.min_by(F.struct("id", "score"), F.struct(-F.col("score"), F.col("id"))).alias("b")).select("headline", "b.id", "b.score")
@@ -167,21 +162,25 @@ def entity_hits(texts: DataFrame, key: str, text: str, watchlist: DataFrame, com
     return own.mapInPandas(scan, f"_key {dict(own.dtypes)['_key']}, entity string, alias string").withColumnRenamed("_key", key)
 
 
-def distinct_bullets(bullets: DataFrame, key: str, text: str, order: str, least: float = 0.58, cap: int = 12, pool: int = 200) -> DataFrame:
-    """Each group's texts without those that are similar to one kept before, ``cap`` at most; the first ``pool`` are looked at.
+def distinct_bullets(bullets: DataFrame, key: str, text: str, order: str, least: float = 0.58, cap: int = 12) -> DataFrame:
+    """Each group's texts without those that are similar to one kept before, ``cap`` at most.
 
-    A choice depends on the ones before, so a group's bounded pool is worked on together.
+    A choice depends on the ones before, so a group is read in order by one task, which holds the kept texts only.
     """
-    top = top_n_per_group(bullets, [key], [F.col(order).asc()], pool)
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in top.schema.fields)
-
-    def choose(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(order)
-        kept: list[int] = []
-        for i in rows.index:
-            own = str(rows.at[i, text] or "").lower()
-            if len(kept) < cap and all(SequenceMatcher(None, own, str(rows.at[j, text] or "").lower()).ratio() < least for j in kept):
-                kept.append(i)
-        return rows.loc[kept]
-
-    return top.groupBy(key).applyInPandas(choose, fields)
+    fields = bullets.schema
+    at_key, at_text = bullets.columns.index(key), bullets.columns.index(text)
+
+    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, kept, begun = None, [], False
+        for batch in batches:
+            takes = []
+            for i, (k, t) in enumerate(zip(batch.column(at_key).to_pylist(), batch.column(at_text).to_pylist(), strict=True)):
+                if not begun or k != group:
+                    group, kept, begun = k, [], True
+                own = str(t or "").lower()
+                if len(kept) < cap and all(SequenceMatcher(None, own, x).ratio() < least for x in kept):
+                    kept.append(own)
+                    takes.append(i)
+            yield batch.take(pa.array(takes, pa.int64()))
+
+    return bullets.repartition(F.col(key)).sortWithinPartitions(key, order).mapInArrow(choose, fields)
