@@ -199,6 +199,27 @@ def test_residue(spark):
     assert {r.id for r in residue.residue_ids(df).collect()} == {"error", "holes", "lorem", "ru"}
 
 
+def test_residue_learns_templates(spark):
+    """Notices that no list holds are learned from their fillings; lines under stories and copies of a story are not."""
+    story = "The regulator in {0} gave the bank nine days to explain why the harvest of {1} was late.\nNobody at the bank of {1} would say when it ends.\nRead more under /more/{2}.html"
+    names = "Ulkast Brixora Lumiere Harzbach Senlund Tranova Velmere Wexio Pellano Quorast Drasil Zinmere".split()
+    rows = [(f"n{i}", f"Zugriffsregel greift: Der Inhalt hinter /a/{i}.html ruht derzeit wegen Umbau.") for i in range(6)]
+    rows += [(f"s{i}", story.format(a, b, i)) for i, (a, b) in enumerate(itertools.combinations(names, 2))]
+    rows += [(f"c{i}", "One and the same story about /a/b.html is copied all over the place.") for i in range(9)]
+    df = spark.createDataFrame(rows, "id string, content string")
+    assert {r.id for r in residue.residue_ids(df).collect()} == {f"n{i}" for i in range(6)}
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.text(alphabet="ab c.{}/“”1#\n", max_size=60))
+def test_residue_tokens_are_those_of_the_full_pattern(text):
+    """The short way of texts without signs gives what the full pattern gives."""
+    plain = "".join(c for c in text if c not in "{}/“”#.")
+    assert residue.tokens(plain) == [m.lastgroup if m.lastgroup != "word" else m.group().lower() for m in residue._TOKEN.finditer(plain)]
+    hit, total = residue.Index(["a b {{x}}"], 5, {}).coverage(text)
+    assert 0 <= hit <= total <= len(text)
+
+
 def test_main_body(spark):
     para = "The regulator in Ulkast gave the bank nine days to explain why the harvest was late, and it said that nobody had asked for that in the spring."
     lines = ["Home | News | Sport", "By A. Writer, Ulkast", para, "", "- One thing of the list", "- Another thing", "Share this story", para, "More from Ulkast", "1. Some headline", "© 2025 Ulkast"]
