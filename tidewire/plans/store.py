@@ -151,19 +151,23 @@ def store_url_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def store_drop_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """How many articles each cleaning step drops: the first reason counts, repeats of a page and text come last."""
-    a = table(spark, sf_dir, "articles").select("id", "url", "title", F.trim(F.coalesce("content", F.lit(""))).alias("text"))
-    first = top_n_per_group(
-        a.withColumns({"k": urls.page_key(F.col("url")), "h": pages.text_key(F.col("text"))}).select("id", "url", "title", "text", "k", "h"), ["k", "h"], [F.col("id").asc()], 1
-    ).select("k", "h", F.col("id").alias("first_id"))
-    marked = a.withColumns({"k": urls.page_key(F.col("url")), "h": pages.text_key(F.col("text"))}).distinct().join(first, ["k", "h"])
-    rules = [
-        ("listing page", pages.listing_page(F.col("url"), F.col("title"))),
-        ("listing content", pages.listing_content(F.col("text"))),
-        ("short", F.length("text") < 250),
-        ("repeat", F.col("id") != F.col("first_id")),
-    ]
-    return store.drop_reasons(marked, rules).groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
+    """How many articles each cleaning step drops: the first reason counts, repeats of a page and text come last.
+
+    Each text is reduced to its key and its flags where it is read; only those move.
+    """
+    text = F.trim(F.coalesce("content", F.lit("")))
+    a = table(spark, sf_dir, "articles").select(
+        "id",
+        urls.page_key(F.col("url")).alias("k"),
+        pages.text_key(text).alias("h"),
+        pages.listing_page(F.col("url"), F.col("title")).alias("listing"),
+        pages.listing_content(text).alias("list_text"),
+        (F.length(text) < 250).alias("short"),
+    )
+    a = a.distinct()
+    first = a.groupBy("k", "h").agg(F.min("id").alias("first_id"))
+    rules = [("listing page", F.col("listing")), ("listing content", F.col("list_text")), ("short", F.col("short")), ("repeat", F.col("id") != F.col("first_id"))]
+    return store.drop_reasons(a.join(first, ["k", "h"]), rules).groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
 
 
 def store_text_cuts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -199,7 +203,21 @@ _KEY = f"(CASE WHEN {_SCHEME} = '' THEN 'https' ELSE {_SCHEME} END || '://' || {
 _WITH_QUERY = f"CASE WHEN {_QUERY} <> '' THEN '?' || {_QUERY} ELSE '' END"
 _LOOSE = "regexp_replace(regexp_replace(regexp_replace(lower(trim(url)), '#.*$', ''), '/+$', ''), '^http://', 'https://')"
 
+_PARTS = {
+    "path": "(CASE WHEN regexp_matches(lower(url), '^[a-z][a-z0-9+.-]*://') THEN trim(regexp_extract(lower(url), '^[a-z][a-z0-9+.-]*://[^/?#]*([^?#]*)', 1), '/') ELSE '' END)",
+    "query": "regexp_extract(lower(coalesce(url, '')), '^[^?#]*\\?([^#]*)', 1)",
+}
+_PARTS["page"] = f"({_PARTS['path']} || '?' || {_PARTS['query']})"
+_SHAPED = " OR ".join(f"(regexp_matches({_PARTS[p]}, '{look}')" + (f" AND NOT regexp_matches({_PARTS[p]}, '{unless}'))" if unless else ")") for p, look, unless in pages.LISTING_SHAPES)
+_NAMED = "lower(trim(coalesce(title, ''))) IN (" + ", ".join(f"'{t}'" for t in pages.LISTING_TITLES) + ") OR " + " OR ".join(f"contains(lower(coalesce(url, '')), '{x}')" for x in pages.LISTING_PATHS)
+_DATES = f"len(regexp_extract_all(t, '{pages.DATE_IN_TEXT}'))"
+
 ORACLE = {
+    "store_drop_reasons": f"""WITH r AS (SELECT DISTINCT id, url, title, trim(coalesce(content, ''), ' ') AS t FROM articles),
+f AS (SELECT DISTINCT id, {_KEY} AS k, substr(sha256(regexp_replace(lower(trim(t, ' ')), '[ \\t\\n\\x0B\\f\\r]+', ' ', 'g')), 1, 16) AS h, ({_NAMED} OR {_SHAPED}) AS listing,
+  ({_DATES} >= 8 OR (len(list_filter(regexp_split_to_array(t, '\\r\\n|\\r|\\n'), lambda x: trim(x, ' ') <> '')) >= 25 AND {_DATES} >= 4)) AS list_text, length(t) < 250 AS short FROM r),
+m AS (SELECT *, min(id) OVER (PARTITION BY k, h) AS first_id FROM f)
+SELECT CASE WHEN listing THEN 'listing page' WHEN list_text THEN 'listing content' WHEN short THEN 'short' WHEN id <> first_id THEN 'repeat' ELSE 'kept' END AS reason, count(*) AS n FROM m GROUP BY 1""",
     "store_source_health": f"WITH {_HEALTH} SELECT * FROM health",
     "store_intake": f"""WITH c AS ({_count("discovered", "discovered_urls", "discovered_at")} UNION ALL {_count("extracted", "articles", "extracted_at")}
   UNION ALL {_count("failed", "crawl_errors", "created_at", "AND url IS NOT NULL")}),

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tidewire.functions import markup
 from tidewire.operators import matching
 from tidewire.operators.ranking import distributed_rank
 from tidewire.runtime import table
@@ -16,7 +17,11 @@ FEED_ITEMS = 50
 
 def web_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = pages.paragraphs(table(spark, sf_dir, "raw_pages"), "raw_path", "html")
-    return p.select("raw_path", "title", F.size("paragraphs").alias("n"))
+    return p.select("raw_path", "title", F.size("paragraphs").alias("n"), F.array_join("paragraphs", "|").alias("text"))
+
+
+def web_snippets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pages.snippets(table(spark, sf_dir, "raw_pages"), "raw_path", "html", 2, 300)
 
 
 def web_links(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -33,7 +38,7 @@ def web_feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranked = distributed_rank(d, ["source_id"], [F.col("title").asc(), F.col("url").asc_nulls_last()])
     feeds = ranked.groupBy("source_id", F.floor((F.col("rank") - 1) / FEED_ITEMS).alias("feed"))
     bodies = feeds.agg(F.concat(F.lit("<rss><channel>"), F.array_join(F.array_sort(F.collect_list(item)), ""), F.lit("</channel></rss>")).alias("body"))
-    return pages.feed_rows(bodies, "source_id", "body").select("source_id", "link")
+    return pages.feed_rows(bodies, "source_id", "body").select("source_id", "link").distinct()
 
 
 def web_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -60,8 +65,36 @@ def match_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
     return matching.entity_hits(table(spark, sf_dir, "articles").select("id", "content").distinct(), "id", "content", n, compact=False)
 
 
+def _quoted(pattern: str) -> str:
+    return "'" + pattern.replace("'", "''") + "'"
+
+
+_PLAIN = "regexp_replace({}, '(?s)<[^>]*>', ' ', 'g')"
+
+
+def _unescaped(x: str) -> str:
+    for name, sign in {"#39": "'", "#8217": "’", "#8211": "–", "#160": "\u00a0", "#8230": "…", "#8220": "“", "#8221": "”"}.items() | markup.ENTITIES.items():
+        x = f"replace({x}, '&{name};', {_quoted(sign)})"
+    return f"replace({x}, '&amp;', '&')"
+
+
+def _text(x: str) -> str:
+    return f"trim(regexp_replace({_unescaped(_PLAIN.format(x))}, '[\\s\\x{{00A0}}]+', ' ', 'g'))"
+
+
+_READ = f"""WITH raw AS (SELECT raw_path, coalesce(html, '') AS page FROM raw_pages),
+marked AS (SELECT raw_path, page, string_split(regexp_replace(regexp_replace(regexp_replace(page, {_quoted(markup.UNSEEN)}, ' ', 'g'), {_quoted(markup.OPENS)}, chr(1), 'g'), {_quoted(markup.CLOSES)}, chr(2), 'g'), chr(1))[2:] AS pieces FROM raw),
+long AS (SELECT raw_path, page, list_filter(list_transform(pieces, lambda x: {_text("string_split(x, chr(2))[1]")}), lambda x: length(x) >= 40) AS b FROM marked),
+once AS (SELECT raw_path, {_text(f"regexp_extract(page, {_quoted(markup.TITLE)}, 1)")} AS title, list_filter(b, lambda x, i: list_position(list_transform(b, lambda y: lower(y)), lower(x)) = i) AS b,
+  list_filter(regexp_extract_all(page, {_quoted(markup.META)}), lambda x: regexp_matches(x, {_quoted(markup.DESCRIBES)}))[1] AS tag FROM long),
+about AS (SELECT raw_path, title, b, {_text(f"regexp_extract(coalesce(tag, ''), {_quoted(markup.CONTENT)}, 1) || regexp_extract(coalesce(tag, ''), {_quoted(markup.CONTENT)}, 2)")} AS d FROM once),
+read AS (SELECT raw_path, title, CASE WHEN len(b) > 0 THEN b WHEN d <> '' THEN [d] ELSE [] END AS paragraphs FROM about)"""
+
 QUERIES = {k: v for k, v in list(globals().items()) if k.startswith(("web_", "match_"))}
 ORACLE = {
+    "web_paragraphs": f"{_READ} SELECT raw_path, title, CAST(len(paragraphs) AS INTEGER) AS n, array_to_string(paragraphs, '|') AS text FROM read",
+    "web_snippets": f"{_READ} SELECT raw_path, title, rtrim(substr(array_to_string(paragraphs[:2], ' '), 1, 300)) AS snippet FROM read",
+    "web_feeds": "SELECT DISTINCT source_id, trim(regexp_replace(url, '\\s+', ' ', 'g')) AS link FROM discovered_urls WHERE discovery_method = 'rss' AND title IS NOT NULL AND source_id IS NOT NULL AND url IS NOT NULL",
     "web_catalog": """WITH p AS (SELECT source_id, homepage_url, row_number() OVER (ORDER BY source_id) AS n FROM source_profiles)
 SELECT CAST(n * 2 + 1 AS INTEGER) AS line_no, CASE WHEN n % 2 = 0 THEN source_id ELSE regexp_replace(lower(regexp_extract(homepage_url, '^[A-Za-z]+://([^/?#]*)', 1)), '^www\\.', '') END AS name, homepage_url AS url FROM p""",
     "web_links": r"""WITH r AS (SELECT raw_path, homepage_url, unnest(regexp_extract_all(html, '(?i)<a\b[^>]*?\bhref\s*=\s*["'']([^"''#\s]+)', 1)) AS h, unnest(range(len(regexp_extract_all(html, '(?i)<a\b[^>]*?\bhref\s*=\s*["'']([^"''#\s]+)', 1)))) AS pos
