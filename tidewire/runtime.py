@@ -55,6 +55,33 @@ def shared_dir(spark: SparkSession) -> str:
     return _own_dirs[key].name
 
 
+def _hadoop(spark: SparkSession, path: str):  # noqa: ANN202
+    """(file system, path) of the storage a path names: local disk, HDFS or an object store alike."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, where = _hadoop(spark, path)
+    return fs.exists(where)
+
+
+def is_folder(spark: SparkSession, path: str) -> bool:
+    fs, where = _hadoop(spark, path)
+    return fs.exists(where) and fs.getFileStatus(where).isDirectory()
+
+
+def listed(spark: SparkSession, path: str) -> list[str]:
+    """The names in a folder, sorted; none where there is no folder."""
+    fs, where = _hadoop(spark, path)
+    return sorted(s.getPath().getName() for s in fs.listStatus(where)) if fs.exists(where) else []
+
+
+def removed(spark: SparkSession, path: str) -> bool:
+    fs, where = _hadoop(spark, path)
+    return fs.delete(where, True)
+
+
 def staged(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write ``df`` as a Parquet table in the shared folder and read it back.
 
