@@ -43,14 +43,23 @@ def greedy(records, cap):
     return kept
 
 
+def test_matching_of_a_long_chain(spark):
+    """Each record waits for the one before it; no number of rounds is needed, and rounds alone give the same."""
+    for n, tail in ((5000, capping.TAIL_ROWS), (7, 0)):
+        rows = [(f"r{i:05d}", f"c{j:05d}", float(n - i)) for i in range(n) for j in (i, i + 1)]
+        got = {r.record: r.kept for r in capping.suitor_matching(spark.createDataFrame(rows, "record string, contributor string, score double"), 1, tail).collect()}
+        assert got == {f"r{i:05d}": i % 2 == 0 for i in range(n)}
+
+
 @pytest.mark.parametrize("seed", [1, 2])
 def test_matching_of_several_contributors(spark, seed):
     random.seed(seed)
     records = [(f"r{i:02d}", sorted(set(random.choices("abcd", k=random.randint(1, 3)))), random.choice([None, 1.0, 2.0, 3.0])) for i in range(40)]
     rows = [(r, n, s) for r, names, s in records for n in names]
     df = spark.createDataFrame(rows + rows[:5], "record string, contributor string, score double")
-    got = {r.record: r.kept for r in capping.suitor_matching(df, 4).collect()}
-    assert {r for r, k in got.items() if k} == greedy(records, 4) and len(got) == 40
+    for tail in (0, 1000):
+        got = {r.record: r.kept for r in capping.suitor_matching(df, 4, tail).collect()}
+        assert {r for r, k in got.items() if k} == greedy(records, 4) and len(got) == 40
 
 
 def words(n, seed):

@@ -7,6 +7,11 @@ equals going through the records from the strongest to the weakest and keeping e
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from itertools import groupby
+from operator import itemgetter
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -14,31 +19,63 @@ from tidewire.operators.ranking import distributed_rank
 from tidewire.runtime import broadcast_if_small, staged
 
 
+#: At most so many proposals are settled in one task, in order: some 20 MB.
+TAIL_ROWS = 200_000
+
+
 def capacity(docs: DataFrame, id_col: str, share: float) -> int:
     """floor(share of all different ids); null ids are not counted."""
     n = docs.select(F.countDistinct(id_col)).first()[0]
     return int(n * round(share * 1_000_000)) // 1_000_000
 
 
-def suitor_matching(proposals: DataFrame, cap: int, max_rounds: int = 1000) -> DataFrame:
+def _settled_in_order(open_: DataFrame, used: DataFrame | None, cap: int) -> DataFrame:
+    """(record, kept) of a bounded remainder, from the strongest record to the weakest in one task."""
+    free = F.lit(cap).cast("long")
+    if used is not None:
+        open_ = open_.join(used, "contributor", "left")
+        free = free - F.coalesce("held", F.lit(0))
+    rows = open_.select("record", "contributor", "score", free.alias("free")).repartition(1).sortWithinPartitions(F.col("score").desc_nulls_last(), F.col("record").asc())
+
+    def settle(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        room: dict[str, int] = {}
+        lines = ((r, c, f) for b in batches for r, c, f in zip(b["record"], b["contributor"], b["free"], strict=True))
+        out: list[tuple] = []
+        for record, own in groupby(lines, key=itemgetter(0)):  # a record has one score, so its rows stand together
+            names = []
+            for _, name, free_ in own:
+                room.setdefault(name, free_)
+                names.append(name)
+            kept = all(room[n] > 0 for n in names)
+            for n in names:
+                room[n] -= kept
+            out.append((record, kept))
+        yield pd.DataFrame(out, columns=["record", "kept"])
+
+    return rows.mapInPandas(settle, f"record {dict(open_.dtypes)['record']}, kept boolean")
+
+
+def suitor_matching(proposals: DataFrame, cap: int, tail: int = TAIL_ROWS) -> DataFrame:
     """Match (record, contributor, score) proposals; returns (record, kept) for every record.
 
     Strength is the higher score, null scores last, ties by the smaller record id. In each round every undecided record
     stands in the line of each of its contributors. One that is within the free capacity in all its lines is held for
     good, because all the stronger ones before it could at most fill the places it does not need; one that meets a
-    contributor without free capacity is displaced for good. The strongest undecided record is decided in every round,
-    so the loop ends. Records with one contributor are settled in the first round.
+    contributor without free capacity is displaced for good, and its places in other lines go to weaker ones. Records with
+    one contributor are settled in the first round. The strongest undecided record is decided in every round, so the loop
+    ends; chains of records that wait for each other shorten fast where strengths are mixed. As soon as at most ``tail``
+    proposals are left they are settled in order in one task, so a long chain costs no round for each of its links.
 
     Ranks come from range partitions, so a contributor with a third of all rows never meets in one task. Repeated
     (record, contributor) rows count once; a record's score is its largest. Proposals with a null contributor are
     ignored, and a record that has only such proposals does not appear.
     """
-    open_ = proposals.filter(F.col("contributor").isNotNull() & F.col("record").isNotNull()).groupBy("record", "contributor").agg(F.max("score").alias("score"))
-    open_ = staged(open_, "proposals")
+    lists = proposals.filter(F.col("contributor").isNotNull() & F.col("record").isNotNull()).groupBy("record").agg(F.collect_set("contributor").alias("names"), F.max("score").alias("score"))
+    open_ = staged(lists.select("record", F.explode("names").alias("contributor"), "score"), "proposals")
     decided: DataFrame | None = None
     used: DataFrame | None = None
     order: list[Column] = [F.col("score").desc_nulls_last(), F.col("record").asc()]
-    for _ in range(max_rounds):
+    while True:
         ranked = distributed_rank(open_, ["contributor"], order, "place")
         if used is not None:
             ranked = ranked.join(broadcast_if_small(used, 96), "contributor", "left")
@@ -65,9 +102,8 @@ def suitor_matching(proposals: DataFrame, cap: int, max_rounds: int = 1000) -> D
         if used is not None:
             held = held.unionByName(used).groupBy("contributor").agg(F.sum("held").alias("held"))
         used, open_ = staged(held, "held"), staged(left, "proposals")
-        if open_.isEmpty():
-            return decided
-    raise RuntimeError(f"undecided records after {max_rounds} rounds")
+        if open_.limit(tail + 1).count() <= tail:
+            return decided.unionByName(_settled_in_order(open_, used, cap))
 
 
 def capped(docs: DataFrame, id_col: str = "id", contributors: str = "source_id", score_col: str = "quality_score", share: float = 0.02) -> DataFrame:
