@@ -251,6 +251,46 @@ def test_flow_is_cheapest():
     assert sum(max(0, uses[p] - n) for p, n in patterns.items()) == 20  # 180 tokens wanted, 160 there
 
 
+def flow_by_trying(patterns, quotas, repeats):
+    """(most tokens, least repetition cost) by going through every way to route."""
+    links = [(p, s) for p in patterns for s in p if s in quotas]
+    best = (0, 0)
+    for flow in itertools.product(*[range(min(patterns[p] * repeats[s], quotas[s]) + 1) for p, s in links]):
+        uses = {p: sum(f for f, (q, _) in zip(flow, links, strict=True) if q == p) for p in patterns}
+        into = {s: sum(f for f, (_, t) in zip(flow, links, strict=True) if t == s) for s in quotas}
+        if all(into[s] <= quotas[s] for s in quotas) and all(uses[p] <= patterns[p] * max((repeats[s] for s in p), default=0) for p in patterns):
+            cost = sum(max(0, uses[p] - k * patterns[p]) for p in patterns for k in range(1, 4))
+            best = max(best, (sum(flow), -cost))
+    return best[0], -best[1]
+
+
+@pytest.mark.parametrize("seed", range(12))
+def test_flow_against_every_way(seed):
+    rng = random.Random(seed)
+    patterns = {("a",): rng.randint(0, 3), ("a", "b"): rng.randint(0, 3), ("b", "c"): rng.randint(0, 3)}
+    quotas, repeats = {s: rng.randint(0, 5) for s in "abc"}, {s: rng.randint(1, 3) for s in "abc"}
+    got = mixing.routed(patterns, quotas, repeats)
+    uses = {p: sum(v for (q, _), v in got.items() if q == p) for p in patterns}
+    cost = sum(max(0, uses[p] - k * n) for p, n in patterns.items() for k in range(1, 4))
+    assert (sum(got.values()), cost) == flow_by_trying({p: n for p, n in patterns.items() if n}, quotas, repeats)
+
+
+def test_total_of_overlapping_sources():
+    assert mixing.reachable_total({("a", "b"): 1000}, {"a": 0.5, "b": 0.5}, {"a": 1, "b": 1}) in range(999, 1003)
+    assert mixing.reachable_total({("a",): 10, ("b",): 30}, {"a": 0.5, "b": 0.5}, {"a": 2, "b": 1}) == 40
+
+
+def test_many_patterns(spark):
+    """Beyond the bound on patterns nothing is left out, and the quotas are met where two sources a document suffice."""
+    names = "abcdef"
+    docs = [(i, "word " * 20, sorted(random.Random(i).sample(names, 3))) for i in range(300)]
+    df = spark.createDataFrame(docs, "doc_id long, text string, source array<string>")
+    targets = spark.createDataFrame([(s, 1 / 6, 2) for s in names], "source string, target_share double, max_repeats int")
+    mix = mixing.mixed(df, targets, most_patterns=16)
+    shares = {r.source: r.share for r in mixing.shares_reached(mix, targets).collect()}
+    assert all(abs(x - 1 / 6) < 0.02 for x in shares.values()), shares
+
+
 def test_mix(spark):
     docs = [(i, "word " * (10 + i % 7), ["a"] if i % 3 else ["a", "b"]) for i in range(300)]
     df = spark.createDataFrame(docs, "doc_id long, text string, source array<string>")
