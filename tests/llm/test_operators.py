@@ -251,6 +251,27 @@ def test_flow_is_cheapest():
     assert sum(max(0, uses[p] - n) for p, n in patterns.items()) == 20  # 180 tokens wanted, 160 there
 
 
+def test_block_rules():
+    """Densities decide long and short blocks alike; open ones inherit."""
+    para = "The regulator in Ulkast gave the bank nine days to explain why the harvest was late, and it said that nobody had asked for that in the spring."
+    assert main_body.decided(para) == "G" and main_body.decided("He did not answer the question on Monday.") == "A"
+    assert main_body.decided("Kontakt Impressum Datenschutz " * 6) == "O"
+    assert [main_body.settled(x) for x in ("GAG", "BAB", "GAB", "A", "GA", "BOG", "BOB", "BSL", "GBL", " O ")] == ["GGG", "BBB", "GBB", "B", "GG", "BGG", "BGB", "BBB", "GBG", " G "]
+
+
+def test_notices_by_their_surroundings(spark):
+    """A long notice with stop words is furniture where many stories hold it; a short sentence of one story is its own, as is a copied paragraph."""
+    notice = "We use cookies and similar means to offer you the best service on this site, and by going on you agree to the use of them as it is set out in our rules."
+    para = "The regulator in {0} gave the bank of {0} nine days to explain why the harvest was late, and it said that nobody had asked for that in the spring."
+    names = "Ulkast Brixora Lumiere Harzbach Senlund Tranova".split()
+    rows = [(n, "\n".join([para.format(n), f"He did not answer the question in {n}.", para.format(n * 3), "It was seen by {} of us.".format(3 + len(n)), para.format(n * 2), notice])) for n in names]
+    rows += [(f"copy{i}", rows[0][1]) for i in range(9)]
+    got = defaultdict(set)
+    for r in main_body.furniture_lines(spark.createDataFrame(rows, "id string, content string")).collect():
+        got[r.id].add(r.line_no)
+    assert got == {i: {3, 5} for i, _ in rows}
+
+
 def flow_by_trying(patterns, quotas, repeats):
     """(most tokens, least repetition cost) by going through every way to route."""
     links = [(p, s) for p in patterns for s in p if s in quotas]
