@@ -6,14 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewire.operators import freshness
-from tidewire.operators.clocks import estimated_zones, instants, written
+from tidewire.operators.clocks import agreement, candidate_zones, estimated_zones, instants, written
 from tidewire.runtime import staged, table
 
-#: Histories of offsets tried for sources without a declared clock.
-CANDIDATE_ZONES = (
-    "America/Chicago", "America/Los_Angeles", "America/New_York", "America/Sao_Paulo", "Asia/Ho_Chi_Minh", "Asia/Kolkata", "Asia/Shanghai",
-    "Asia/Tokyo", "Australia/Sydney", "Europe/Berlin", "Europe/London", "Europe/Moscow", "UTC",
-)
+#: Sources without a declared clock are tried with every history of offsets of these years.
+YEARS = (2025, 2026)
 RECORDS = {"articles": "extracted_at", "discovered_urls": "discovered_at"}
 
 
@@ -27,14 +24,17 @@ def _written(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return instants(_written(spark, sf_dir), CANDIDATE_ZONES, ["record_table", "id"])
+    return instants(_written(spark, sf_dir), candidate_zones(*YEARS), ["record_table", "id"], lane="record_table")
 
 
 def p5_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The clock each source seems to write by, beside the declared one."""
+    """The clock each source seems to write by while its declared one is hidden, and how many of its times that leaves right."""
     parts = staged(_written(spark, sf_dir), "written_times")
-    declared = table(spark, sf_dir, "source_clocks").select("source_id", F.col("zone_name").alias("declared_zone"))
-    return estimated_zones(parts.select("source_id", "t", "seen"), CANDIDATE_ZONES).join(declared, "source_id", "left")
+    clocks = table(spark, sf_dir, "source_clocks").groupBy("source_id").agg(F.min("zone_name").alias("declared_zone"))
+    found = estimated_zones(parts.select("source_id", "t", "seen", F.col("record_table").alias("lane")), candidate_zones(*YEARS))
+    pairs = staged(found.join(clocks, "source_id", "left"), "zones")
+    right = agreement(parts.select("source_id", "t"), pairs.select("source_id", "zone_name", "declared_zone"))
+    return pairs.join(right, "source_id", "left").select("source_id", "zone_name", "declared_zone", "agreeing", "compared", "violations")
 
 
 def times_recent(spark: SparkSession, sf_dir: str) -> DataFrame:
