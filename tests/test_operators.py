@@ -271,3 +271,13 @@ def test_split_late(spark):
     df = spark.createDataFrame([(1, datetime(2025, 1, 3)), (2, datetime(2025, 1, 1)), (3, None)], "i int, at timestamp")
     good, late = flows.split_late(df, "at", "2025-01-03 12:00:00", "24 HOURS")
     assert ([r.i for r in good.collect()], sorted(r.i for r in late.collect())) == ([1], [2, 3])
+
+
+def test_one_row_each(spark):
+    from tidewire.operators.ranking import one_row_each
+
+    rows = [("a", 1, "x"), ("a", 2, "y"), ("a", 2, "y"), ("b", None, None), (None, 1, "n"), (None, 1, "n"), ("c", 1, None)]
+    df = spark.createDataFrame(rows, "id string, at int, _n string")
+    got = sorted(map(tuple, one_row_each(df, "id", "at").collect()), key=str)
+    assert got == sorted([("a", 2, "y"), ("b", None, None), (None, 1, "n"), (None, 1, "n"), ("c", 1, None)], key=str)
+    assert one_row_each(df.limit(0), "id").count() == 0

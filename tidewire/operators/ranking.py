@@ -21,6 +21,21 @@ def top_n_per_group(df: DataFrame, keys: Sequence[str], order: Sequence[Column],
     return df.withColumn(rank, F.row_number().over(w)).filter(F.col(rank) <= n).drop(rank)
 
 
+def one_row_each(df: DataFrame, key: str, newest: str | None = None) -> DataFrame:
+    """``df`` with one row for each key: the one of the largest ``newest``, ties by a hash of the whole row.
+
+    Only keys are grouped to find which of them repeat; rows of all others are passed on without a shuffle, so that texts
+    move only where copies have to be told apart. Rows with a null key all stay.
+    """
+    (n,) = fresh(df, "_n")
+    several = staged(df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias(n)).filter(F.col(n) > 1).select(key), "repeated_keys")
+    small = broadcast_if_small(several, 64)
+    whole = F.struct(*[F.col(f"`{c}`") for c in df.columns])
+    rank = F.struct(*([F.col(newest)] if newest else []), F.xxhash64(whole))
+    chosen = df.join(small, key, "left_semi").groupBy(F.col(key).alias(n)).agg(F.max_by(whole, rank).alias("_row")).select("_row.*")
+    return df.join(small, key, "left_anti").unionByName(chosen)
+
+
 def distributed_rank(df: DataFrame, keys: Sequence[str], order: Sequence[Column], name: str = "rank") -> DataFrame:
     """Add ``name``: the 1-based rank of each row in its group, for groups larger than one task holds.
 
