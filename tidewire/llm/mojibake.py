@@ -9,6 +9,7 @@ their byte sequences, and stay as they are.
 from __future__ import annotations
 
 import re
+import unicodedata
 from collections import Counter
 from collections.abc import Iterator
 from functools import cache
@@ -19,10 +20,12 @@ from pyspark.sql import functions as F
 
 from tidewire.runtime import broadcast_if_small, packed, staged
 
-#: Single-byte decoders that UTF-8 text is wrongly put through.
+#: Single-byte decoders that UTF-8 text is wrongly put through, once or twice in a row.
 CODECS = ("cp1252", "latin-1", "cp1250", "cp1251", "koi8-r", "cp437", "mac-roman", "cp850", "cp866", "cp1258")
-#: Single-byte pairs: text stored in the first and read as the second.
-SINGLE = (("cp1251", "cp1252"), ("cp1251", "koi8-r"), ("koi8-r", "cp1251"), ("cp866", "cp1251"), ("cp1251", "cp866"), ("koi8-r", "cp1252"))
+#: Text stored in one single-byte code page and read as another: every pair of these.
+STORED = ("cp1251", "koi8-r", "koi8-u", "cp866", "iso8859-5", "mac-cyrillic", "cp1250", "iso8859-2", "cp1253", "iso8859-7")
+READ = ("cp1252", "latin-1", "cp1251", "koi8-r", "cp866", "mac-roman")
+SINGLE = tuple((a, b) for a in STORED for b in READ if a != b)
 #: A word read under SINGLE counts only with at least so many characters beyond ASCII.
 SINGLE_LETTERS = 3
 #: A garbled form that looks like a word itself, with fewer letters than this, counts only beside another garbled word.
@@ -67,9 +70,21 @@ def _encoded(text: str, codec: str) -> bytes | None:
         return None
 
 
-def _plausible(text: str) -> bool:
-    """Whether the characters are ones that the corpus' languages write, with at least one beyond ASCII."""
-    beyond = False
+def _usual(i: int) -> bool:
+    """Whether a code point is one that Latin, Vietnamese, Greek and Russian texts write."""
+    return (
+        0xA0 <= i <= 0x17F or i in (0x1A0, 0x1A1, 0x1AF, 0x1B0, 0x401, 0x451, 0x2026, 0x2022, 0x2116, 0x20AC, 0x2122, 0x202F, 0xFEFF, 0x3000)
+        or 0x300 <= i <= 0x327 or 0x410 <= i <= 0x44F or 0x1EA0 <= i <= 0x1EF9 or 0x2000 <= i <= 0x203A or 0xFB00 <= i <= 0xFB06 or 0xFF01 <= i <= 0xFF5E or 0x391 <= i <= 0x3C9
+    )
+
+
+def _plausible(text: str, wide: bool = True) -> bool:
+    """Whether the characters are ones that texts hold, with at least one beyond ASCII.
+
+    Other scripts and signs count only where ``wide``, and need two characters, or one of three bytes and more: that bytes
+    make those by accident is rare, but for words in Cyrillic, whose letters are lead and continuation bytes in cp866.
+    """
+    beyond, other, width = False, 0, 0
     for c in text:
         i = ord(c)
         if i < 0x80:
@@ -77,24 +92,19 @@ def _plausible(text: str) -> bool:
                 return False
             continue
         beyond = True
-        if not (
-            0xA0 <= i <= 0x17F or i in (0x1A0, 0x1A1, 0x1AF, 0x1B0, 0x401, 0x451, 0x2026, 0x2022, 0x2116, 0x20AC, 0x2122, 0x202F, 0xFEFF, 0x3000)
-            or 0x300 <= i <= 0x327 or 0x410 <= i <= 0x44F or 0x1EA0 <= i <= 0x1EF9 or 0x2000 <= i <= 0x203A or 0xFB00 <= i <= 0xFB06 or 0xFF01 <= i <= 0xFF5E or 0x391 <= i <= 0x3C9
-        ):
-            return False
-    return beyond
+        if not _usual(i):
+            if not wide or unicodedata.category(c)[0] not in "LMNPS":
+                return False
+            other += 1
+            width = max(width, 2 if i < 0x800 else 3)
+    return beyond and (not other or other > 1 or width > 2)
 
 
 def garbled_forms(word: str) -> set[str]:
-    """What a word turns into under each chain: one wrong decoder, the same one twice, or a single-byte pair."""
-    forms: set[str] = set()
+    """What a word turns into under each chain: one wrong decoder, any two of them in a row, or a single-byte pair."""
     raw = word.encode("utf-8", "surrogatepass")
-    for codec in CODECS:
-        once = _decoded(raw, codec)
-        forms.add(once)
-        forms.add(_decoded(once.encode("utf-8", "surrogatepass"), codec))
-        if codec == "latin-1":
-            forms.add(_decoded(once.encode("utf-8", "surrogatepass"), "cp1252"))
+    once = {_decoded(raw, codec) for codec in CODECS}
+    forms = once | {_decoded(x.encode("utf-8", "surrogatepass"), codec) for x in once for codec in CODECS}
     forms |= single_forms(word)
     forms.discard(word)
     return forms
@@ -114,6 +124,7 @@ def single_forms(word: str) -> set[str]:
 
 def undone(word: str, depth: int = 2) -> str | None:
     """The word with one or two wrong decodings taken back as a whole, if that gives plausible text."""
+    wide = not any("\u0400" <= c <= "\u04ff" for c in word)
     for codec in CODECS:
         raw = _encoded(word, codec)
         if raw is None:
@@ -124,7 +135,7 @@ def undone(word: str, depth: int = 2) -> str | None:
             continue
         if text != word:
             again = undone(text, depth - 1) if depth > 1 else None
-            if again is not None or _plausible(text):
+            if again is not None or _plausible(text, wide):
                 return again if again is not None else text
     return None
 
@@ -156,6 +167,7 @@ def _sequences(codec: str) -> re.Pattern[str]:
 
 def remains(word: str) -> bool:
     """Whether the word holds whole byte sequences of plausible characters amid lost ones."""
+    wide = not any("\u0400" <= c <= "\u04ff" for c in word)
     for codec in ("cp1252", "latin-1", "cp1250", "cp1251", "koi8-r", "cp437", "mac-roman"):
         hits = 0
         for m in _sequences(codec).findall(word):
@@ -165,7 +177,7 @@ def remains(word: str) -> bool:
             except UnicodeDecodeError:
                 continue
             # one hit suffices where its characters do not stand together in any word: two symbols, or three bytes
-            hits += _plausible(c) * (2 if len(m) == 3 or sum(not x.isalpha() for x in m) == len(m) else 1)
+            hits += _plausible(c, wide) * (2 if len(m) == 3 or sum(not x.isalpha() for x in m) == len(m) else 1)
         if hits >= 2:
             return True
     return False
@@ -238,7 +250,8 @@ def garbled_table(words: DataFrame) -> DataFrame:
 
     counted = words.groupBy("kind", "word").agg(F.sum("n").alias("n")).withColumn("cases", F.sum("n").over(Window.partitionBy("kind", F.lower("word"))))
     vocabulary = staged(counted, "vocabulary")
-    made = vocabulary.filter("kind = 'clean'").select("word", "n", "cases").mapInPandas(forms, "garbled string, original string, n long, cases long, sure boolean, commoner boolean, weak boolean")
+    spread = vocabulary.filter("kind = 'clean'").select("word", "n", "cases").repartition(words.sparkSession.sparkContext.defaultParallelism * 2, "word")
+    made = spread.mapInPandas(forms, "garbled string, original string, n long, cases long, sure boolean, commoner boolean, weak boolean")
     known = vocabulary.select(F.col("word").alias("garbled"), "kind", F.col("cases").alias("own_cases"))
     hits = made.join(broadcast_if_small(known, 120), "garbled").filter("kind <> 'clean' OR sure OR cases > own_cases OR (cases = own_cases AND commoner)")
     best = Window.partitionBy("garbled").orderBy(F.desc("n"), "original")
@@ -279,13 +292,15 @@ def garbled_words(docs: DataFrame, fields: list[str], id_col: str = "id") -> Dat
 
 
 def garbled_fields(docs: DataFrame, fields: list[str], id_col: str = "id") -> DataFrame:
-    """(id, field, words, restorable) of the fields with garbled text.
+    """(id, field, words, restorable, tier) of the fields with garbled text.
 
-    ``words`` counts the different garbled words, ``restorable`` those with a verified original. Null and empty fields
-    are never garbled; rows that repeat an id count once.
+    ``words`` counts the different garbled words, ``restorable`` those with a verified original. The tier is 'table' where
+    the table of garbled forms names an original of at least one word, else 'bytes': then only what is left of the byte
+    sequences tells. Null and empty fields are never garbled; rows that repeat an id count once.
     """
     placed = garbled_words(docs, fields, id_col)
-    return placed.groupBy("id", "field").agg(F.count(F.lit(1)).alias("words"), F.count("original").alias("restorable"))
+    counts = placed.groupBy("id", "field").agg(F.count(F.lit(1)).alias("words"), F.count("original").alias("restorable"))
+    return counts.withColumn("tier", F.when(F.col("restorable") > 0, "table").otherwise("bytes"))
 
 
 def restored(docs: DataFrame, fields: list[str], id_col: str = "id") -> DataFrame:

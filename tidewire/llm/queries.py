@@ -8,15 +8,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewire.llm import capping, leaks, main_body, mixing, mojibake, repeated_lines, residue, shared_spans, visual_forms
+from tidewire.operators.ranking import one_row_each
 from tidewire.runtime import table
 
 
+def _articles(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    """One row for each article, the copy extracted last."""
+    return one_row_each(table(spark, sf_dir, "articles").select("id", "extracted_at", *columns), "id", "extracted_at").select("id", *columns)
+
+
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_lines.found_lines(table(spark, sf_dir, "articles"))
 
 
 def p1_cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
-    arts = table(spark, sf_dir, "articles").select("id", "source_id", "content").distinct()
+    arts = _articles(spark, sf_dir, "source_id", "content")
     return repeated_lines.without_repeated_lines(arts).select("id", "content", "removed_lines")
 
 
@@ -25,7 +31,7 @@ def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p2_one_form(spark: SparkSession, sf_dir: str) -> DataFrame:
-    arts = table(spark, sf_dir, "articles").select("id", "title", "content").distinct()
+    arts = _articles(spark, sf_dir, "title", "content")
     return visual_forms.in_one_form(arts, ["title", "content"])
 
 
@@ -34,7 +40,7 @@ def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p3_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return main_body.main_bodies(table(spark, sf_dir, "articles"), table(spark, sf_dir, "raw_pages"))
+    return main_body.main_bodies(_articles(spark, sf_dir, "content", "raw_path"), table(spark, sf_dir, "raw_pages"))
 
 
 def p3_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -50,16 +56,22 @@ def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p6_restored(spark: SparkSession, sf_dir: str) -> DataFrame:
-    arts = table(spark, sf_dir, "articles").select("id", "title", "content").distinct()
+    arts = _articles(spark, sf_dir, "title", "content")
     return mojibake.restored(arts, ["title", "content"])
 
 
+def p6_tiers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many fields have an original that the table verified, and how many are known by their bytes alone."""
+    found = mojibake.garbled_fields(table(spark, sf_dir, "articles"), ["title", "content"])
+    return found.groupBy("field", "tier").agg(F.count(F.lit(1)).alias("n"))
+
+
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return residue.residue_ids(table(spark, sf_dir, "articles"))
 
 
 def p7_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
-    arts = table(spark, sf_dir, "articles").select("id", "content", "content_length").distinct()
+    arts = _articles(spark, sf_dir, "content", "content_length")
     return residue.without_residue(arts)
 
 

@@ -17,18 +17,19 @@ MIN_SHARE = 0.03
 PAIR_BYTES = 96
 
 
-def normal_line(line: Column) -> Column:
-    """Trimmed, white space of any kind as one space, case folded, runs of digits 0-9 as one sign."""
-    spaced = F.trim(F.regexp_replace(line, r"(?U)[\s\p{Z}]+", " "))
-    return F.lower(F.upper(F.regexp_replace(spaced, "[0-9]+", "0")))
+def normal_lines(text: Column) -> Column:
+    """The lines of a text: trimmed, white space of any kind as one space, case folded, runs of digits 0-9 as one sign.
+
+    The whole text is normalised once, then cut at its line feeds.
+    """
+    spaced = F.regexp_replace(text, r"(?U)[\s\p{Z}&&[^\n]]+", " ")
+    folded = F.lower(F.upper(F.regexp_replace(spaced, "[0-9]+", "0")))
+    return F.transform(F.split(folded, "\n"), lambda line: F.trim(line))
 
 
 def line_hashes(text: Column, source: Column) -> Column:
     """The hash of each line between line feeds in order, null for blank lines; null text gives null."""
-    return F.transform(
-        F.split(text, "\n"),
-        lambda line: F.when(normal_line(line) != "", F.xxhash64(source, normal_line(line))),
-    )
+    return F.transform(normal_lines(text), lambda line: F.when(line != "", F.xxhash64(source, line)))
 
 
 def frequent_lines(
