@@ -153,6 +153,29 @@ def test_forms_agree(a, b):
     assert visual_forms.visual_digests([unicodedata.normalize("NFD", a)]) == [ka]
 
 
+def test_forms_agree_on_every_character():
+    """Over all assigned code points and their normal forms: equal keys exactly where the one form is equal."""
+    chars = [chr(i) for i in range(0x110000) if not 0xD800 <= i < 0xE000 and unicodedata.category(chr(i)) not in ("Cn", "Co", "Cc")]
+    texts = [f"x{t}y" for c in chars for t in {c, unicodedata.normalize("NFC", c), unicodedata.normalize("NFD", c)}]
+    keys, forms = visual_forms.visual_digests(texts), visual_forms.one_form(texts)
+    pairs = set(zip(keys, forms, strict=True))
+    assert len(pairs) == len({k for k, _ in pairs}) == len({f for _, f in pairs})
+    for c in ("각", "\U0002f800", "ﬁ", "Å"):
+        a, b, d = visual_forms.visual_digests([c, unicodedata.normalize("NFC", c), unicodedata.normalize("NFD", c)])
+        assert a == b == d, c
+
+
+def test_classes_are_the_pairs(spark):
+    rows = [("1", "Why"), ("2", "Ｗhy"), ("3", "Ｗhy"), ("4", "W​hy"), ("5", "why"), ("6", None), ("7", "Other"), ("7", "Other")]
+    df = spark.createDataFrame(rows, "id string, title string")
+    links = defaultdict(int)
+    for r in visual_forms.lookalike_pairs(df, ["title"]).collect():
+        links[r.id_a] += 1
+        links[r.id_b] += 1
+    got = visual_forms.lookalike_classes(df, ["title"]).collect()
+    assert {r.id: r.links for r in got} == links and len({r.look for r in got}) == 1
+
+
 def test_looks(spark):
     same = ["Why the café", "Ｗｈｙ the café", "Why  the café ", "Wh​y the café", "Why the саfé"]
     apart = ["why the café", "Why the cafe", "Why the café!", "Москва", "Mockba"]

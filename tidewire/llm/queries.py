@@ -30,6 +30,10 @@ def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return visual_forms.lookalike_pairs(table(spark, sf_dir, "articles"), ["title", "content"])
 
 
+def p2_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return visual_forms.lookalike_classes(table(spark, sf_dir, "articles"), ["title", "content"])
+
+
 def p2_one_form(spark: SparkSession, sf_dir: str) -> DataFrame:
     arts = _articles(spark, sf_dir, "title", "content")
     return visual_forms.in_one_form(arts, ["title", "content"])
@@ -116,6 +120,22 @@ often AS (SELECT source_id, k FROM keyed JOIN totals USING (source_id) WHERE k <
 def oracle_sql() -> dict[str, str]:
     return {
         "p1_found": _P1_LINES + "SELECT DISTINCT id, CAST(line_no AS INTEGER) AS line_no FROM keyed JOIN often USING (source_id, k)",
+        "p1_cleaned": _P1_LINES + """, drops AS (SELECT id, list(DISTINCT line_no) AS gone FROM keyed JOIN often USING (source_id, k) GROUP BY id),
+every AS (SELECT DISTINCT id, content FROM articles)
+SELECT e.id, CASE WHEN gone IS NULL THEN content ELSE array_to_string(list_filter(string_split(content, chr(10)), lambda x, i: NOT list_contains(gone, i - 1)), chr(10)) END AS content,
+  CAST(coalesce(len(gone), 0) AS INTEGER) AS removed_lines FROM every e LEFT JOIN drops d ON e.id = d.id""",
+        "p8_found": r"""
+WITH d AS (SELECT DISTINCT doc_id, regexp_extract_all(lower(text), '[\p{L}\p{Nd}]+') AS w FROM documents WHERE doc_id IS NOT NULL),
+i AS (SELECT DISTINCT item_id, regexp_extract_all(lower(text), '[\p{L}\p{Nd}]+') AS w FROM eval_items),
+dg AS (SELECT doc_id, array_to_string(w[k:k + 11], ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 10)) AS k FROM d)),
+ig AS (SELECT item_id, array_to_string(w[k:k + 11], ' ') AS g FROM (SELECT item_id, w, unnest(range(1, len(w) - 10)) AS k FROM i))
+SELECT DISTINCT doc_id, item_id FROM dg JOIN ig USING (g)""",
+        "p10_found": """
+WITH d AS (SELECT DISTINCT doc_id, text FROM documents WHERE length(text) >= 500),
+w AS (SELECT doc_id, substr(text, k, 500) AS s FROM (SELECT doc_id, text, unnest(range(1, length(text) - 498)) AS k FROM d)),
+h AS (SELECT DISTINCT doc_id, hash(s) AS h, md5_number_lower(s) AS m FROM w),
+many AS (SELECT h, m FROM h GROUP BY h, m HAVING count(*) > 1), kept AS (SELECT doc_id, h, m FROM h SEMI JOIN many USING (h, m))
+SELECT DISTINCT a.doc_id AS doc_id_a, b.doc_id AS doc_id_b FROM kept a JOIN kept b USING (h, m) WHERE a.doc_id < b.doc_id""",
         "p4_found": """
 WITH a AS (SELECT DISTINCT id, source_id, quality_score FROM articles),
 r AS (SELECT id, row_number() OVER (PARTITION BY source_id ORDER BY quality_score DESC NULLS LAST, id) AS rn

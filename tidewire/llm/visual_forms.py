@@ -16,30 +16,37 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewire.runtime import staged
+from tidewire.runtime import broadcast_if_small, staged
 
 #: Characters worked on at once; a longer text is one piece of its own.
 SLICE_CHARS = 200_000
 
 # Letters of other scripts that look like Latin ones, each with its Latin twin.
-CYRILLIC = dict(zip("АВЕЅІЈКМНОРСТУХаеѕіјорсухһԁԛԝӏ", "ABESIJKMHOPCTYXaesijopcyxhdqwl", strict=True))
-GREEK = dict(zip("ΑΒΕΖΗΙΚΜΝΟΡΤΥΧαινορυ", "ABEZHIKMNOPTYXaivopu", strict=True))
-ARMENIAN = dict(zip("օոսհ", "onuh", strict=True))
+CYRILLIC = dict(zip("АВЕЅІЈКМНОРСТУХаеѕіјорсухһԁԛԝӏҮүѴѵԌ", "ABESIJKMHOPCTYXaesijopcyxhdqwlYyVvG", strict=True))
+GREEK = dict(zip("ΑΒΕΖΗΙΚΜΝΟΡΤΥΧαινορυϲϳϹ", "ABEZHIKMNOPTYXaivopucjC", strict=True))
+ARMENIAN = dict(zip("օոսհցՍՏՕ", "onuhgUSO", strict=True))
+CHEROKEE = dict(zip("ᎠᎡᎢᎪᎫᎬᎳᎷᎻᏀᏒᏔᏙᏚᏞᏟᏢᏦᏴ", "DRTAJEWMHGRWVSLCPKB", strict=True))
+LISU = dict(zip("ꓐꓑꓓꓔꓖꓗꓙꓚꓜꓝꓟꓠꓡꓢꓣꓦꓧꓪꓫꓬꓮꓰꓲꓳꓴ", "BPDTGKJCZFMNLSRVHWXYAEIOU", strict=True))
 LATIN = {"Ð": "Đ", "Ɖ": "Đ"}
-LOOKALIKES = CYRILLIC | GREEK | ARMENIAN | LATIN
+LOOKALIKES = CYRILLIC | GREEK | ARMENIAN | CHEROKEE | LISU | LATIN
 
 PLAIN, EXPANDED, SPACE, UNSEEN, MARK = range(5)
 
 
 def _visible_twin(c: str) -> str:
-    """``c`` decomposed as far as no visible difference goes: canonically, by width, and joined letters into their parts."""
+    """``c`` decomposed as far as no visible difference goes: canonically, by width and type face, and joined letters into their parts."""
+    if 0xAC00 <= ord(c) < 0xD7A4:  # composed Hangul is decomposed by rule
+        return unicodedata.normalize("NFD", c)
     d = unicodedata.decomposition(c)
     if not d:
         return LOOKALIKES.get(c, c)
     tag, _, rest = d.partition(" ") if d[0] == "<" else ("", "", d)
     parts = "".join(chr(int(x, 16)) for x in rest.split())
-    letters = unicodedata.category(c)[0] == "L" and len(parts) > 1 and all(unicodedata.category(x)[0] == "L" for x in parts)
-    if tag in ("", "<wide>", "<narrow>", "<noBreak>") or (tag == "<compat>" and letters):
+    category = unicodedata.category(c)
+    letters = category[0] == "L" and len(parts) > 1 and all(unicodedata.category(x)[0] == "L" for x in parts)
+    numerals = category == "Nl" and parts.isascii() and parts.isalpha()
+    fonts = tag == "<font>" and category[0] == "L"
+    if tag in ("", "<wide>", "<narrow>", "<noBreak>") or fonts or (tag == "<compat>" and (letters or numerals)):
         return "".join(_visible_twin(x) for x in parts)
     return LOOKALIKES.get(c, c)
 
@@ -53,7 +60,7 @@ def tables() -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray
     count = np.ones(0x110000, np.uint8)
     twins: list[int] = []
     for i in range(0x110000):
-        if 0xAC00 <= i < 0xD7A4 or 0xD800 <= i < 0xE000 or 0x20000 <= i < 0xE0000:  # composed Hangul is one form already
+        if 0xD800 <= i < 0xF900 or 0x32400 <= i < 0xE0000 or i >= 0xE0200:  # surrogates, private use, nothing assigned
             continue
         c = chr(i)
         category = unicodedata.category(c)
@@ -182,6 +189,20 @@ def lookalike_pairs(docs: DataFrame, fields: list[str], id_col: str = "id") -> D
     return a.join(b, ["field", "look"]).filter("id_a < id_b AND exact_a <> exact_b").select("field", "id_a", "id_b").distinct()
 
 
+def lookalike_classes(docs: DataFrame, fields: list[str], id_col: str = "id") -> DataFrame:
+    """(field, look, id, links): each record whose field looks like another one's of different characters, with its class.
+
+    ``look`` names the class; ``links`` counts the records of the class whose characters differ from this one's. This is
+    what lookalike_pairs spells out, in one row a record: a look that a third of all records share in many forms costs
+    counts only.
+    """
+    keys = staged(visual_keys(docs, fields, id_col), "visual_keys")
+    forms = keys.groupBy("field", "look", "exact").agg(F.count(F.lit(1)).alias("own"))
+    classes = forms.groupBy("field", "look").agg(F.sum("own").alias("all"), F.count(F.lit(1)).alias("forms")).filter("forms > 1")
+    links = staged(forms.join(classes, ["field", "look"]).select("field", "look", "exact", (F.col("all") - F.col("own")).alias("links")), "looks")
+    return keys.join(broadcast_if_small(links, 120), ["field", "look", "exact"]).select("field", F.hex("look").alias("look"), "id", "links")
+
+
 @cache
 def _scripts() -> tuple[np.ndarray, np.ndarray]:
     """(script of letters that have no twin: 1 Latin, 2 Cyrillic; the Cyrillic twin of a Latin letter, or itself)."""
