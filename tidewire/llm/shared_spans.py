@@ -158,6 +158,37 @@ def _common(x: str, y: str) -> int:
     return lo
 
 
+def _stretched(text: str, lo: int, hi: int, span: int) -> tuple[int, int]:
+    """The shared part lo..hi of a text, widened where the text repeats itself with a period of up to ``span`` characters.
+
+    A window of the part that stands again one period on is shared there too. Where the part has windows of all phases the
+    whole periodic stretch is shared, else what whole periods reach.
+    """
+    windows = hi - lo - span + 1
+    at = text.find(text[hi - span : hi], hi - span + 1, hi + span)
+    if at >= 0:
+        period = at - (hi - span)
+        more = _common(text[hi:], text[hi - period :])
+        hi += more if windows >= period else more // period * period
+    at = text.rfind(text[lo : lo + span], max(0, lo - span), lo + span - 1)
+    if at >= 0:
+        period = lo - at
+        more = _common(text[:lo][::-1], text[: lo + period][::-1])
+        lo -= more if windows >= period else more // period * period
+    return lo, hi
+
+
+def _covered(batches: Iterator[pd.DataFrame], span: int) -> Iterator[pd.DataFrame]:
+    """(doc_id, lo, hi) of both sides of each hit, extended over the whole texts."""
+    for b in batches:
+        out = []
+        for da, x, i, db, y, j in zip(b["doc_id_a"], b["near_a"], b["pos_a"], b["doc_id_b"], b["near_b"], b["pos_b"], strict=True):
+            fwd, back = _common(x[i:], y[j:]), _common(x[:i][::-1], y[:j][::-1])
+            out.append((da, *_stretched(x, i - back, i + fwd, span)))
+            out.append((db, *_stretched(y, j - back, j + fwd, span)))
+        yield pd.DataFrame(out, columns=["doc_id", "lo", "hi"])
+
+
 def _paired(places: DataFrame, key: str) -> DataFrame:
     """(doc_id_a, pos_a, doc_id_b, pos_b) of places with the same key, but for those whose places before agree as well."""
     a = places.select(key, F.col("doc_id").alias("doc_id_a"), F.col("pos").alias("pos_a"), F.col("before").alias("before_a"))
@@ -242,21 +273,16 @@ def shared_parts(documents: DataFrame, min_span: int = MIN_SPAN) -> DataFrame:
     """(doc_id, n_chars, shared_chars, share) for each document that shares a span: how much of it stands elsewhere too.
 
     ``shared_chars`` counts the characters that lie in some verified run. Verified runs, which are few, are extended over
-    the whole texts; the runs of a document are merged by a window over its own runs, sorted by their start. A stretch that
-    repeats itself with a short period, in chunks that are hot, is aligned with each other document once, by its beginning;
-    where the other one's stretch is shorter, what is beyond that is not counted.
+    the whole texts, and over the stretch around them where a text repeats itself; the runs of a document are merged by a
+    window over its own runs, sorted by their start.
     """
     found = staged(shared_runs(documents, min_span).select("doc_id_a", "doc_id_b", "pos_a", "pos_b"), "runs")
     ids = staged(found.select(F.col("doc_id_a").alias("doc_id")).union(found.select("doc_id_b")).distinct(), "sharers")
     texts = documents.join(broadcast_if_small(ids, 48), "doc_id", "left_semi").groupBy("doc_id").agg(F.max("text").alias("text"))
     ta = texts.select(F.col("doc_id").alias("doc_id_a"), F.col("text").alias("near_a"))
     tb = texts.select(F.col("doc_id").alias("doc_id_b"), F.col("text").alias("near_b"))
-    both = found.join(ta, "doc_id_a").join(tb, "doc_id_b").withColumns({"off_a": F.col("pos_a"), "off_b": F.col("pos_b")})
-    runs = staged(both.mapInPandas(_extended, RUN_FIELDS), "whole_runs")
-    span = lambda side: runs.select(
-        F.col(f"doc_id_{side}").alias("doc_id"), (F.col(f"pos_{side}") - F.col("back")).alias("lo"), (F.col(f"pos_{side}") + F.col("fwd")).alias("hi")
-    )
-    spans = staged(span("a").unionByName(span("b")).distinct(), "spans")
+    both = found.join(ta, "doc_id_a").join(tb, "doc_id_b").select("doc_id_a", "near_a", "pos_a", "doc_id_b", "near_b", "pos_b")
+    spans = staged(both.mapInPandas(lambda batches: _covered(batches, min_span), "doc_id long, lo int, hi int").distinct(), "spans")
     w = Window.partitionBy("doc_id").orderBy("lo", "hi").rowsBetween(Window.unboundedPreceding, -1)
     fresh = F.greatest(F.lit(0), F.col("hi") - F.greatest(F.col("lo"), F.coalesce(F.max("hi").over(w), F.lit(0))))
     covered = spans.select("doc_id", fresh.alias("n")).groupBy("doc_id").agg(F.sum("n").alias("shared_chars"))
