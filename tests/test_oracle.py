@@ -3,9 +3,9 @@
 import pytest
 
 from tests.compare import assert_same, duck
-from tidewire.plans import events, picks, quality, store, streams, times, web
+from tidewire.plans import digest, events, picks, quality, store, streams, times, web
 
-PLANS = (events, picks, quality, store, streams, times, web)
+PLANS = (digest, events, picks, quality, store, streams, times, web)
 CASES = [(p, name) for p in PLANS for name in p.QUERIES]
 
 
