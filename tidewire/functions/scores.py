@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Mapping, Sequence
 from functools import reduce
 from operator import add, or_
@@ -13,6 +14,16 @@ from pyspark.sql import functions as F
 VIETNAMESE = "ăđĩũơưạảấầẩẫậắằẳẵặẹẻẽếềểễệỉịọỏốồổỗộớờởỡợụủứừửữựỳỵỷỹ"
 
 
+#: Latin letters with marks and what they are without, by the character database.
+_MARKED = "".join(c for c in map(chr, range(0xC0, 0x1F00)) if unicodedata.normalize("NFD", c)[0].isascii() and unicodedata.normalize("NFD", c) != c)
+_BARE = "".join(unicodedata.normalize("NFD", c)[0] for c in _MARKED)
+
+
+def folded(text: Column) -> Column:
+    """The text in lower case without the marks of Latin letters; '' for null."""
+    return F.lower(F.regexp_replace(F.translate(F.coalesce(text, F.lit("")), _MARKED, _BARE), r"[\x{0300}-\x{036F}]", ""))
+
+
 def graded(points: Sequence[tuple[Column, float]], least: float = 0.0, most: float = 10.0) -> Column:
     """The sum of the points of the true conditions, clamped; a null condition gives none."""
     total = reduce(add, [F.when(c, F.lit(float(p))).otherwise(0.0) for c, p in points], F.lit(0.0))

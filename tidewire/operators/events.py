@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tidewire.functions.arrays import distinct_array, ordered_array
 from tidewire.functions.rules import first_label
 from tidewire.operators.ranking import top_n_per_group
+from tidewire.runtime import staged
 
 
 @dataclass(frozen=True)
@@ -52,9 +53,13 @@ def top_events(events: DataFrame, pools: Sequence[Pool], limit: int) -> DataFram
 
 
 def latest_mentions(mentions: DataFrame, top: DataFrame, blocked_hosts: str) -> DataFrame:
-    """The latest mention of each (event, url) for the top events, without blocked hosts; ``top`` is bounded by its limit."""
-    own = mentions.filter(web_urls(F.col("url")) & ~F.lower("url").rlike(blocked_hosts))
-    near = own.join(F.broadcast(top.select("event_id")), "event_id", "left_semi")
+    """The latest mention of each (event, url) for the top events, without blocked hosts; ``top`` is bounded by its limit.
+
+    The mentions of these events are written first, so that the pattern of hosts is tried on them alone and not, pushed
+    below the join, on every mention there is.
+    """
+    own = staged(mentions.join(F.broadcast(top.select("event_id")), "event_id", "left_semi"), "top_mentions")
+    near = own.filter(web_urls(F.col("url")) & ~F.lower("url").rlike(blocked_hosts))
     return top_n_per_group(near, ["event_id", "url"], [F.col("mention_time").desc_nulls_last(), F.col("source_name").asc_nulls_last()], 1)
 
 

@@ -4,18 +4,18 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from difflib import SequenceMatcher
 from functools import cache
 
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
-from tidewire.functions import urls
-from tidewire.runtime import staged
+from tidewire.functions import scores, urls
+from tidewire.runtime import broadcast_if_small, staged
 
 
 @F.pandas_udf(DoubleType())
@@ -119,20 +119,62 @@ def resolved_urls(wanted: DataFrame, known: DataFrame, least: float = 0.72, cont
     return found
 
 
-def headline_matches(headlines: DataFrame, articles: DataFrame, least: float = 0.36) -> DataFrame:
-    """(headline, id, score): the article whose title fits a headline best: 0.35 words + 0.65 sequence.
+#: What names and numbers look like in a headline.
+HINTS = r"(\b[A-Z][a-zA-Z]{2,}\b|\b[A-Z]{2,}\b|\b\d[\d.,]{1,8}\b)"
 
-    Candidates share a word of four characters or more, however common it is.
+
+def headline_matches(headlines: DataFrame, articles: DataFrame, least: float = 0.36, stop: Sequence[str] = (), weights: tuple[float, float, float] = (0.35, 0.4, 0.25)) -> DataFrame:
+    """(headline, id, score): the article that fits a headline best, by words, sequence and names; ties by the smaller id.
+
+    The score weighs the share of the headline's words (three letters and more, without marks and stop words) in title and
+    text, the similarity of headline and title, and the share of its names and numbers in title and text. It is nothing
+    where the headline has names of which the article holds none, or none with four Latin letters in its title; where
+    neither sequence nor words come near; and where there is no title. ``articles`` is (id, title) or (id, title, text).
+
+    Candidates share a word or a number with the headline, however common it is; headlines are few beside the articles.
     """
-    h = headlines.filter(F.col("headline").isNotNull()).select("headline").distinct().withColumn("w", words(F.col("headline")))
-    a = articles.filter(F.col("title").isNotNull()).select("id", "title", words(F.col("title")).alias("v"))
-    keyed = h.select("headline", "w", F.explode("w").alias("x"))
-    pairs = keyed.join(a.withColumn("x", F.explode("v")), "x").select("headline", "w", "id", "title", "v").distinct()
-    score = F.lit(0.35) * overlap(F.col("w"), F.col("v")) + F.lit(0.65) * sequence_ratio(F.lower("headline"), F.lower("title"))
-    scored = pairs.withColumn("score", F.round(score, 6)).filter(F.col("score") >= least)
+    own = lambda c: F.array_except(F.array_distinct(F.regexp_extract_all(scores.folded(c), F.lit(r"(?U)(\w{3,})"), F.lit(1))), F.array(*[F.lit(x) for x in stop]).cast("array<string>"))
+    raw = F.col("headline")
+    h = headlines.filter(raw.isNotNull()).select("headline").distinct()
+    h = h.select("headline", own(raw).alias("w"), scores.folded(raw).alias("hf"), F.array_distinct(F.transform(F.regexp_extract_all(raw, F.lit(HINTS), F.lit(1)), lambda x: F.lower(x))).alias("names"))
+    h = staged(h, "headlines")
+    text = F.substring("text", 1, 1000) if "text" in articles.columns else F.lit("")
+    a = articles.filter(F.trim("title") != "").select("id", scores.folded(F.col("title")).alias("tf"), F.concat_ws(" ", scores.folded(F.col("title")), scores.folded(text)).alias("blob"))
+    a = a.withColumn("v", own(F.col("blob")))
+    keyed = broadcast_if_small(h.select("headline", F.explode(F.array_union("w", "names")).alias("x")), 200)
+    hits = a.select("id", F.explode(F.array_union("v", F.split("tf", r"[^\p{L}\p{N}.,]+"))).alias("x")).join(keyed, "x").select("headline", "id").distinct()
+    pairs = hits.join(broadcast_if_small(h, 600), "headline").join(a, "id")
+    words_in, seq = overlap(F.col("w"), F.col("v")), sequence_ratio(F.col("hf"), F.col("tf"))
+    held = F.filter("names", lambda n: F.col("blob").contains(n))
+    strong = F.filter("names", lambda n: (F.length(n) >= 4) & n.rlike("^[ -~]+$"))
+    unnamed = (F.size("names") > 0) & (F.size(held) == 0)
+    elsewhere = (F.size(strong) > 0) & ~F.exists(strong, lambda n: F.col("tf").contains(n))
+    named = F.when(F.size("names") > 0, F.size(held) / F.size("names")).otherwise(0.0)
+    rated = pairs.filter(~unnamed & ~elsewhere).withColumns({"_w": words_in, "_s": seq, "_n": named}).filter((F.col("_s") >= 0.24) | (F.col("_w") >= 0.42))
+    total = F.least(F.lit(1.0), weights[0] * F.col("_w") + weights[1] * F.col("_s") + weights[2] * F.col("_n"))
+    scored = rated.withColumn("score", F.round(total, 6)).filter(F.col("score") >= least)
     return scored.groupBy("headline").agg(F.min_by(F.struct("id", "score"), F.struct(-F.col("score"), F.col("id"))).alias("b")).select("headline", "b.id", "b.score")
 
 
+def story_sources(stories: DataFrame, articles: DataFrame, floor: float = 0.36, loose: float = 0.2, cap: int = 3) -> DataFrame:
+    """(story, id, pass, place): up to ``cap`` articles for each story by its needed and forbidden title words.
+
+    ``stories`` has (story, text, needed, forbidden), the last two arrays of words; ``articles`` has (id, title). An article
+    whose title holds a forbidden word, or none of the needed ones where there are any, never fits. The first pass takes word
+    overlap of ``floor`` and more, the second fills up from ``loose``; inside a pass the larger overlap, then the smaller id.
+    """
+    s = stories.filter(F.col("text").isNotNull()).select("story", words(scores.folded(F.col("text")), 3).alias("w"), F.coalesce("needed", F.array().cast("array<string>")).alias("need"), F.coalesce("forbidden", F.array().cast("array<string>")).alias("ban"))
+    a = articles.filter(F.col("title").isNotNull()).select("id", words(scores.folded(F.col("title")), 3).alias("v")).distinct()
+    keyed = broadcast_if_small(staged(s.select("story", F.explode("w").alias("x")), "story_words"), 120)
+    pairs = a.select("id", F.explode("v").alias("x")).join(keyed, "x").groupBy("story", "id").agg(F.count(F.lit(1)).alias("n"))
+    rows = pairs.join(broadcast_if_small(s, 400), "story").join(a, "id")
+    fits = ~F.arrays_overlap("ban", "v") & ((F.size("need") == 0) | F.arrays_overlap("need", "v"))
+    rated = rows.filter(fits).withColumn("score", F.round(F.col("n") / F.size("w"), 6)).filter(F.col("score") >= loose)
+    rated = rated.withColumn("pass", F.when(F.col("score") >= floor, 1).otherwise(2))
+    w = Window.partitionBy("story").orderBy("pass", F.desc("score"), "id")
+    return rated.withColumn("place", F.row_number().over(w)).filter(F.col("place") <= cap).select("story", "id", "pass", "place")
+
+
 def compacted(text: str) -> str:
     """A text in lower case, of which only ASCII letters and digits and Han characters are left."""
     return re.sub(r"[^0-9a-z\u3400-\u9fff]+", "", text.lower())

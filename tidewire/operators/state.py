@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidewire.runtime import broadcast_if_small, staged
+
 
 def upserted(old: DataFrame, new: DataFrame, key: str, order: Sequence[str] = ()) -> DataFrame:
     """``old`` with the rows of ``new`` put in its place by key; among new rows of one key the last in ``order`` wins.
@@ -46,11 +48,14 @@ def replayed_frontier(log: DataFrame) -> DataFrame:
     Log: url_hash, url, source_id, action (upsert, crawled, failed, skipped), error_type, content_hash, next_crawl_at, ts,
     seq. An upsert makes the row pending and keeps old values where its own are null; crawled clears the error; failed
     and skipped count a retry and clear the next crawl. What comes before the first upsert of a URL is ignored. Every
-    field is the last of some kind of transition, so partial aggregates suffice and a hot URL costs one row per task.
+    field is the last of some kind of transition, so partial aggregates suffice and a hot URL costs one row per task; only
+    the URLs that something happened to before their first upsert, which are few, are joined back to their rows.
     """
     order = F.struct("ts", "seq")
-    first = log.filter("action = 'upsert'").groupBy("url_hash").agg(F.min(order).alias("_first"))
-    rows = log.join(first, "url_hash").filter(order >= F.col("_first"))
+    firsts = log.groupBy("url_hash").agg(F.min(order).alias("_any"), F.min(F.when(F.col("action") == "upsert", order)).alias("_first"))
+    early = staged(firsts.filter(F.col("_first").isNull() | (F.col("_any") < F.col("_first"))).select(F.col("url_hash").alias("_u"), "_first", F.lit(True).alias("_early")), "early")
+    rows = log.filter(F.col("url_hash").isNotNull()).join(broadcast_if_small(early, 96), F.col("url_hash") == F.col("_u"), "left")
+    rows = rows.filter(F.col("_early").isNull() | (order >= F.col("_first"))).drop("_u", "_first", "_early")
     bad, crawled, up = F.col("action").isin("failed", "skipped"), F.col("action") == "crawled", F.col("action") == "upsert"
     last = lambda value, when: F.max_by(value, F.when(when, order))
     out = rows.groupBy("url_hash").agg(

@@ -59,6 +59,22 @@ def match_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("raw_url", "url", F.round("score", 6).alias("score"))
 
 
+def match_headlines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The article that fits the title of each profiled homepage best, at any score above none."""
+    heads = table(spark, sf_dir, "source_profiles").select(F.col("html_title").alias("headline"))
+    arts = table(spark, sf_dir, "articles").select("id", "title", F.col("content").alias("text")).dropDuplicates(["id"])
+    return matching.headline_matches(heads, arts, 0.1)
+
+
+def match_stories(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Articles for each test item by its words; those about copper are not wanted, and where an item asks for figures ones that name a group are."""
+    items = table(spark, sf_dir, "eval_items")
+    stories = items.select(
+        F.col("item_id").alias("story"), F.substring("text", 1, 120).alias("text"), F.when(F.col("item_id") % 3 == 0, F.array(F.lit("group"), F.lit("capital"))).alias("needed"), F.array(F.lit("copper")).alias("forbidden")
+    )
+    return matching.story_sources(stories, table(spark, sf_dir, "articles").select("id", "title"))
+
+
 def match_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Which sources each article names, by title or domain as plain substrings, as its SQL says."""
     n = table(spark, sf_dir, "source_profiles").filter("html_title IS NOT NULL").select(F.col("source_id").alias("entity"), F.array(F.col("html_title"), F.col("domain")).alias("aliases"))
@@ -103,6 +119,12 @@ l AS (SELECT raw_path, pos, CASE WHEN h LIKE '//%' THEN regexp_extract(homepage_
   regexp_replace(lower(regexp_extract(homepage_url, '^[A-Za-z]+://([^/?#]*)', 1)), '^www\.', '') AS host FROM r)
 SELECT raw_path, CAST(min(pos) AS INTEGER) AS pos, link FROM l WHERE regexp_matches(link, '^https?://') AND regexp_replace(lower(regexp_extract(link, '^[A-Za-z]+://([^/?#]*)', 1)), '^www\.', '') = host GROUP BY raw_path, link
 QUALIFY row_number() OVER (PARTITION BY raw_path ORDER BY min(pos)) <= 200""",
+    "match_stories": r"""WITH s0 AS (SELECT item_id AS story, regexp_extract_all(strip_accents(lower(substr(text, 1, 120))), '[\p{L}\p{N}_]{3,}') AS w, CASE WHEN item_id % 3 = 0 THEN ['group', 'capital'] ELSE [] END AS need FROM eval_items WHERE text IS NOT NULL),
+s AS (SELECT story, list_distinct(w) AS w, need FROM s0), a AS (SELECT DISTINCT id, list_distinct(regexp_extract_all(strip_accents(lower(title)), '[\p{L}\p{N}_]{3,}')) AS v FROM articles WHERE title IS NOT NULL),
+p AS (SELECT story, id, count(*) AS n FROM (SELECT id, unnest(v) AS x FROM a) JOIN (SELECT story, unnest(w) AS x FROM s) USING (x) GROUP BY ALL),
+r AS (SELECT story, id, round(n / len(w), 6) AS score FROM p JOIN s USING (story) JOIN a USING (id) WHERE NOT list_contains(v, 'copper') AND (len(need) = 0 OR list_has_any(need, v)) AND round(n / len(w), 6) >= 0.2),
+q AS (SELECT story, id, CASE WHEN score >= 0.36 THEN 1 ELSE 2 END AS pass, score FROM r)
+SELECT story, id, pass, row_number() OVER (PARTITION BY story ORDER BY pass, score DESC, id) AS place FROM q QUALIFY place <= 3""",
     "match_entities": """WITH w AS (SELECT source_id AS entity, html_title AS a1, domain AS a2 FROM source_profiles WHERE html_title IS NOT NULL), a AS (SELECT DISTINCT id, lower(content) AS c FROM articles WHERE content IS NOT NULL)
 SELECT id, entity, CASE WHEN contains(c, lower(a1)) THEN lower(a1) ELSE lower(a2) END AS alias FROM a JOIN w ON contains(c, lower(a1)) OR contains(c, lower(a2))""",
 }
