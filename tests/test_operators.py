@@ -281,3 +281,12 @@ def test_one_row_each(spark):
     got = sorted(map(tuple, one_row_each(df, "id", "at").collect()), key=str)
     assert got == sorted([("a", 2, "y"), ("b", None, None), (None, 1, "n"), (None, 1, "n"), ("c", 1, None)], key=str)
     assert one_row_each(df.limit(0), "id").count() == 0
+
+
+def test_staged_tables_go(spark, tmp_path):
+    from tidewire.runtime import drop_staged, exists, is_folder, listed, shared_dir, staged
+
+    df = staged(spark.range(5).toDF("n"), "probe")
+    assert df.count() == 5 and any(x.startswith("probe-") for x in listed(spark, shared_dir(spark)))
+    assert drop_staged(spark) >= 1 and not any(x.startswith("probe-") for x in listed(spark, shared_dir(spark)))
+    assert is_folder(spark, str(tmp_path)) and not exists(spark, f"{tmp_path}/none") and listed(spark, f"{tmp_path}/none") == []

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 #: A side is broadcast only when it was counted and holds at most this many bytes by estimate.
 BROADCAST_LIMIT_BYTES = 32 * 1024 * 1024
 
+_staged_paths: list[str] = []
 _own_dirs: dict[str, tempfile.TemporaryDirectory] = {}
 
 
@@ -86,14 +87,23 @@ def staged(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write ``df`` as a Parquet table in the shared folder and read it back.
 
     Cuts the lineage, so that a lost executor costs a file read instead of the whole chain, and lets
-    later plans prune columns. The folder's owner removes it; a local session removes its own at exit.
+    later plans prune columns. Results that are still lazy read it, so it stays until ``drop_staged`` is called, once they
+    were written or collected; a local session removes its own folder at exit.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _staged_paths.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def drop_staged(spark: SparkSession) -> int:
+    """Remove the tables that this driver has staged so far; to be called when no result that reads them is open. Tells how many."""
+    n = sum(removed(spark, p) for p in _staged_paths)
+    _staged_paths.clear()
+    return n
+
+
 def broadcast_if_small(df: DataFrame, row_bytes: int, limit: int = BROADCAST_LIMIT_BYTES) -> DataFrame:
     """Hint a broadcast when the counted rows times ``row_bytes`` stay within ``limit``.
 
