@@ -3,9 +3,9 @@
 import pytest
 
 from tests.compare import assert_same, duck
-from tidewire.plans import crawl, digest, events, picks, quality, store, streams, texts, times, web
+from tidewire.plans import crawl, digest, events, picks, pulse, quality, store, streams, texts, times, web
 
-PLANS = (crawl, digest, events, picks, quality, store, streams, texts, times, web)
+PLANS = (crawl, digest, events, picks, pulse, quality, store, streams, texts, times, web)
 CASES = [(p, name) for p in PLANS for name in p.QUERIES]
 
 

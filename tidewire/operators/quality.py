@@ -42,3 +42,9 @@ def window_gate(counts: DataFrame, columns: Sequence[str], least: int) -> DataFr
     """One row: ``passed`` where any of the counts reaches ``least``, and the largest of them."""
     top = F.greatest(*[F.coalesce(F.col(c), F.lit(0)) for c in columns])
     return counts.select((top >= least).alias("passed"), top.alias("most"))
+
+
+def thin_groups(df: DataFrame, group: str, wanted: DataFrame, least: int) -> DataFrame:
+    """(group, n) for every wanted group with fewer than ``least`` rows, those without any too."""
+    counts = df.groupBy(group).agg(F.count(F.lit(1)).alias("n"))
+    return wanted.select(group).distinct().join(counts, group, "left").select(group, F.coalesce("n", F.lit(0)).alias("n")).filter(F.col("n") < least)

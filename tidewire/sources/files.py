@@ -53,6 +53,47 @@ def catalog(lines: DataFrame) -> DataFrame:
     return rows.select("line_no", F.coalesce(F.nullif("name", F.lit("")), urls.host(F.col("t"))).alias("name"), F.col("t").alias("url"))
 
 
+def tiers(lines: DataFrame, header: str = r"^#+\s*tier[:\s]+(\w+)", file_col: str = "file") -> DataFrame:
+    """(file, tier, url) of seed files in which header comments name the tier of the URLs below them; none before the first.
+
+    ``lines`` has (file, line_no, line); each file is read in its own window.
+    """
+    text = F.trim("line")
+    named = F.nullif(F.regexp_extract(F.lower(text), header, 1), F.lit(""))
+    w = Window.partitionBy(file_col).orderBy("line_no").rowsBetween(Window.unboundedPreceding, 0)
+    rows = lines.filter(text != "").select(file_col, text.alias("t"), F.last(named, ignorenulls=True).over(w).alias("tier"))
+    return rows.filter(~F.col("t").startswith("#")).select(file_col, "tier", F.col("t").alias("url"))
+
+
+def packed_copy(spark: SparkSession, source: str, target: str) -> int:
+    """A gzip-packed copy of a Parquet table, which reads like any other; tells its rows."""
+    df = spark.read.parquet(source)
+    df.write.mode("overwrite").option("compression", "gzip").parquet(target)
+    return spark.read.schema(df.schema).parquet(target).count()
+
+
+def restored_copy(spark: SparkSession, packed: str, target: str) -> bool:
+    """Put a packed copy in the place of a table, unless rows are there already; tells whether it did."""
+    df = spark.read.parquet(packed)
+    if not table_or_empty(spark, target, df.schema).isEmpty():
+        return False
+    df.write.mode("overwrite").parquet(target)
+    return True
+
+
+def store_blobs(blobs: DataFrame, path: str) -> DataFrame:
+    """Write raw bodies (source_id, fetched_at, body), partitioned by source and named by content; returns (source_id, blob, bytes).
+
+    A body that is stored for its source already is not written again, so a retried batch adds nothing.
+    """
+    spark = blobs.sparkSession
+    rows = blobs.filter(F.col("body").isNotNull()).withColumn("blob", F.sha2(F.col("body").cast("binary"), 256))
+    once = rows.groupBy("source_id", "blob").agg(F.max_by("body", "fetched_at").alias("body"), F.max("fetched_at").alias("fetched_at"))
+    known = table_or_empty(spark, path, "blob string, body string, fetched_at timestamp, source_id string").select("source_id", "blob")
+    once.join(known, ["source_id", "blob"], "left_anti").select("blob", F.col("body").cast("string").alias("body"), "fetched_at", "source_id").write.mode("append").partitionBy("source_id").parquet(path)
+    return once.select("source_id", "blob", F.octet_length("body").alias("bytes"))
+
+
 def write_csv(df: DataFrame, path: str, columns: list[str] | None = None) -> None:
     df.select(*(columns or df.columns)).write.mode("overwrite").option("header", True).csv(path)
 
