@@ -125,6 +125,10 @@ l2 AS (SELECT *, CASE WHEN action IN ('failed','skipped') THEN 'E' || event_id %
   CASE WHEN action = 'upsert' AND event_id % 3 = 0 THEN ts END AS next_crawl_at, row_number() OVER (PARTITION BY url_hash ORDER BY ts, event_id) AS n FROM log),
 f AS (SELECT url_hash, min(n) AS n0 FROM l2 WHERE action = 'upsert' GROUP BY 1), r AS (SELECT l2.* FROM l2 JOIN f USING (url_hash) WHERE n >= n0)"""
 ORACLE = {
+    "pick_chunks": """WITH RECURSIVE o AS (SELECT doc_id, n_chars AS size, row_number() OVER (ORDER BY doc_id) AS r FROM documents),
+c AS (SELECT doc_id, size, r, 0::BIGINT AS chunk, size AS held FROM o WHERE r = 1
+  UNION ALL SELECT o.doc_id, o.size, o.r, chunk + CASE WHEN held + o.size > 20000 THEN 1 ELSE 0 END, CASE WHEN held + o.size > 20000 THEN o.size ELSE held + o.size END FROM c JOIN o ON o.r = c.r + 1)
+SELECT doc_id, size, chunk FROM c""",
     "pick_round_robin": f"""WITH {_ARTS}, s AS (SELECT *, row_number() OVER (PARTITION BY source_id ORDER BY extracted_at DESC, id) AS t, count(*) OVER (PARTITION BY source_id) AS n FROM arts WHERE source_id IS NOT NULL)
 SELECT id, source_id FROM s ORDER BY t, n DESC, source_id, id LIMIT 150""",
     "pick_batches": "SELECT o_orderkey, o_orderdate, CAST((row_number() OVER (ORDER BY o_orderdate, o_orderkey) - 1) // 100 AS BIGINT) AS batch FROM orders",
