@@ -136,6 +136,12 @@ w AS (SELECT doc_id, substr(text, k, 500) AS s FROM (SELECT doc_id, text, unnest
 h AS (SELECT DISTINCT doc_id, hash(s) AS h, md5_number_lower(s) AS m FROM w),
 many AS (SELECT h, m FROM h GROUP BY h, m HAVING count(*) > 1), kept AS (SELECT doc_id, h, m FROM h SEMI JOIN many USING (h, m))
 SELECT DISTINCT a.doc_id AS doc_id_a, b.doc_id AS doc_id_b FROM kept a JOIN kept b USING (h, m) WHERE a.doc_id < b.doc_id""",
+        "p10_shared": """
+WITH d AS (SELECT DISTINCT doc_id, text FROM documents WHERE length(text) >= 500),
+h AS (SELECT doc_id, k, hash(substr(text, k, 500)) AS h, md5_number_lower(substr(text, k, 500)) AS m FROM (SELECT doc_id, text, unnest(range(1, length(text) - 498)) AS k FROM d)),
+many AS (SELECT h, m FROM h GROUP BY h, m HAVING count(DISTINCT doc_id) > 1), kept AS (SELECT doc_id, k FROM h SEMI JOIN many USING (h, m)),
+c AS (SELECT doc_id, least(500, coalesce(lead(k) OVER (PARTITION BY doc_id ORDER BY k) - k, 500)) AS n FROM kept), s AS (SELECT doc_id, sum(n)::BIGINT AS shared_chars FROM c GROUP BY doc_id)
+SELECT doc_id, CAST(length(text) AS INTEGER) AS n_chars, shared_chars, round(shared_chars / length(text), 6) AS share FROM s JOIN d USING (doc_id)""",
         "p4_found": """
 WITH a AS (SELECT DISTINCT id, source_id, quality_score FROM articles),
 r AS (SELECT id, row_number() OVER (PARTITION BY source_id ORDER BY quality_score DESC NULLS LAST, id) AS rn
