@@ -290,3 +290,10 @@ def test_staged_tables_go(spark, tmp_path):
     assert df.count() == 5 and any(x.startswith("probe-") for x in listed(spark, shared_dir(spark)))
     assert drop_staged(spark) >= 1 and not any(x.startswith("probe-") for x in listed(spark, shared_dir(spark)))
     assert is_folder(spark, str(tmp_path)) and not exists(spark, f"{tmp_path}/none") and listed(spark, f"{tmp_path}/none") == []
+
+
+def test_prose_covered(spark):
+    prose = "Rates rise again in the spring, the bank said, and nobody was asked about that before."
+    rows = [("rates rise again", True), (prose[:70] + " or else", True), (prose.replace("spring", "autumn"), True), ("oil falls", False), ("", False), (None, False)]
+    df = spark.createDataFrame([(t, prose, w) for t, w in rows], "t string, p string, want boolean")
+    assert all(r.want == r.got for r in df.select("want", matching.prose_covered(F.col("t"), F.col("p")).alias("got")).collect())

@@ -175,3 +175,49 @@ def alike_texts(a: Column, b: Column, contained: int = 24, overlap: float = 0.82
     words = lambda t: F.array_distinct(F.filter(F.split(t, r"[^\p{L}\p{N}]+"), lambda w: w != ""))
     small = F.least(F.size(words(x)), F.size(words(y)))
     return (x != "") & (y != "") & ((x == y) | inside | ((small > 0) & (F.size(F.array_intersect(words(x), words(y))) >= overlap * small)))
+
+
+def link_packs(items: DataFrame, item: str, order: Sequence[Column], url: str, per_item: int = 2, most_items: int = 12, most_urls: int = 25) -> DataFrame:
+    """(item, url, place) of the first items with links: so many links an item, each URL once at its first place, a cap over all.
+
+    ``order`` ends in a unique key and gives both the order of items, by their first row, and of links. Items without a link
+    take no place. What is left after the two limits is at most ``most_items`` x ``per_item`` rows.
+    """
+    rows = items.filter(F.col(url).isNotNull() & (F.trim(url) != "") & F.col(item).isNotNull())
+    lead = top_n_per_group(rows, [item], order, 1).orderBy(*order).limit(most_items)
+    own = rows.join(F.broadcast(lead.select(item)), item, "left_semi")
+    links = top_n_per_group(top_n_per_group(own, [item, url], order, 1), [item], order, per_item)
+    once = top_n_per_group(links, [url], order, 1)
+    return once.withColumn("place", F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(*order))).filter(F.col("place") <= most_urls).select(item, url, "place")
+
+
+def partial_counts(partials: DataFrame, sectors: str, code: str, topics: str) -> DataFrame:
+    """(code, topics, partials): over stored partial results with nested sectors, how many topics each sector has in how many.
+
+    ``sectors`` is an array of structs that hold the sector's ``code`` and the array ``topics``; null arrays count as empty.
+    """
+    rows = partials.select(F.explode(sectors).alias("s")).select(F.col(f"s.{code}").alias(code), F.greatest(F.lit(0), F.coalesce(F.size(F.col(f"s.{topics}")), F.lit(0))).alias("n"))
+    return rows.groupBy(code).agg(F.sum("n").cast("long").alias("topics"), F.count_if(F.col("n") > 0).alias("partials"))
+
+
+def tidied(df: DataFrame, sector: str, soft: Column, reroutes: Sequence[tuple[Column, str]], headline: str, order: Sequence[Column], most: int = 25) -> DataFrame:
+    """Topics without the soft ones, sent to the sector of the first reroute that fits, one a headline, the first ``most`` of each sector."""
+    kept = df.filter(~F.coalesce(soft, F.lit(False)))
+    to: Column | None = None
+    for condition, name in reroutes:
+        to = F.when(condition, name) if to is None else to.when(condition, name)
+    moved = kept if to is None else kept.withColumn(sector, to.otherwise(F.col(sector)))
+    return candidate_pools(moved, sector, headline, order, most).drop("pool")
+
+
+def filtered_unless_empty(df: DataFrame, bad: Column) -> DataFrame:
+    """Rows that are not bad, or all rows where nothing would be left; the test is one aggregated row, so the plan stays lazy."""
+    good = ~F.coalesce(bad, F.lit(False))
+    none = df.agg((F.count_if(good) == 0).alias("_none"))
+    return df.join(F.broadcast(none)).filter(good | F.col("_none")).drop("_none")
+
+
+def token_budget(limit: int, prompt: Column, output: Column, per_minute: int | None = None, reserve: int = 0) -> Column:
+    """The tokens left for input: the window less prompt, output and reserve, no more than a minute allows, never below 0."""
+    left = F.lit(limit) - F.coalesce(prompt, F.lit(0)) - F.coalesce(output, F.lit(0)) - reserve
+    return F.greatest(F.lit(0), left if per_minute is None else F.least(left, F.lit(per_minute)))

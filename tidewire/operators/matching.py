@@ -204,6 +204,13 @@ def entity_hits(texts: DataFrame, key: str, text: str, watchlist: DataFrame, com
     return own.mapInPandas(scan, f"_key {dict(own.dtypes)['_key']}, entity string, alias string").withColumnRenamed("_key", key)
 
 
+def prose_covered(item: Column, prose: Column, head: int = 60, least: float = 0.72) -> Column:
+    """Whether a text stands in a longer one: wholly, by its first ``head`` characters, or nearly the whole of it; empty texts do not."""
+    a, b = F.lower(F.trim(F.coalesce(item, F.lit("")))), F.lower(F.trim(F.coalesce(prose, F.lit(""))))
+    by_head = (F.length(a) >= head) & b.contains(F.substring(a, 1, head))
+    return (a != "") & (b.contains(a) | by_head | (sequence_ratio_from(least)(a, b) >= least))
+
+
 def distinct_bullets(bullets: DataFrame, key: str, text: str, order: str, least: float = 0.58, cap: int = 12) -> DataFrame:
     """Each group's texts without those that are similar to one kept before, ``cap`` at most.
 

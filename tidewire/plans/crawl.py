@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidewire.functions import urls
 from tidewire.operators import discovery
+from tidewire.operators.ranking import top_n_per_group
 from tidewire.runtime import table
 
 NOW = "2025-12-01 00:00:00"
@@ -73,6 +74,14 @@ def crawl_summaries(spark: SparkSession, sf_dir: str) -> DataFrame:
     return discovery.summary_articles(d, a.select("url", "ok"), "url", "summary", F.sha2("summary", 256), a.limit(0).select("url"), 100).select("url", "text_hash")
 
 
+def crawl_likeness(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Up to ten addresses of each source by how much they look like an article's, each page once."""
+    u = F.col("url")
+    d = _found(spark, sf_dir).filter("source_id <> '' AND url IS NOT NULL").select("source_id", urls.page_key(u).alias("url")).distinct()
+    score = F.when(u.rlike(r"/\d{4}/\d{2}/"), 3).otherwise(0) + F.when(u.rlike(r"\d{5}"), 2).otherwise(0) + F.when(F.regexp_count(u, F.lit("-")) >= 5, 2).otherwise(0) - F.when(u.rlike("/(tag|category|page)/"), 5).otherwise(0)
+    return top_n_per_group(d.withColumn("score", score), ["source_id"], [F.col("score").desc(), u.asc()], 10)
+
+
 def crawl_due(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = table(spark, sf_dir, "source_profiles")
     return discovery.due_profiles(p.select("source_id"), p, "source_id", "profiled_at", F.lit("2025-09-18").cast("timestamp_ntz"), 7)
@@ -125,6 +134,9 @@ _HOST = "regexp_replace(lower(regexp_extract(trim(url), '^[A-Za-z][A-Za-z0-9+.-]
 _F = """f0 AS (SELECT source_id, url, max(CASE WHEN length(url) % 5 > 0 THEN discovered_at END) AS entry_time FROM discovered_urls
   WHERE discovery_method = 'rss' AND source_id <> '' AND url IS NOT NULL AND discovered_at >= TIMESTAMP '2025-10-01' GROUP BY ALL),
 f AS (SELECT * FROM f0 QUALIFY row_number() OVER (PARTITION BY source_id ORDER BY entry_time DESC NULLS LAST, url) <= 20)"""
+_SCHEME = "lower(regexp_extract(trim(url), '^([A-Za-z][A-Za-z0-9+.-]*)://', 1))"
+_PATH = "regexp_extract(trim(url), '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1)"
+_KEY = f"(CASE WHEN {_SCHEME} = '' THEN 'https' ELSE {_SCHEME} END || '://' || {_HOST} || CASE WHEN {_PATH} IN ('', '/') THEN '/' ELSE regexp_replace({_PATH}, '/$', '') END)"
 _RECENT = " OR ".join(f"contains(lower(url), '{d}') OR contains(lower(url), '{d.replace('-', '/')}')" for d in DAYS)
 _MONTH = "regexp_extract(lower(url), '/(\\d{4})/(\\d{1,2})(?:/|$)', 1) || '-' || lpad(regexp_extract(lower(url), '/(\\d{4})/(\\d{1,2})(?:/|$)', 2), 2, '0') = '2025-09'"
 ORACLE = {
@@ -142,6 +154,9 @@ SELECT CASE WHEN coalesce(d, e) IS NOT NULL THEN CASE WHEN coalesce(d, e) BETWEE
 OR (length(t) < 400 AND (contains(t, 'captcha') OR contains(t, 'verify you are human') OR contains(t, 'enable javascript')))""",
     "crawl_summaries": """WITH d AS (SELECT DISTINCT url, title, concat_ws(' ', title, url, raw_metadata) AS s FROM discovered_urls), f AS (SELECT url FROM articles GROUP BY url HAVING NOT max(coalesce(length(content), 0) > 900))
 SELECT min(url) AS url, sha256(s) AS text_hash FROM d SEMI JOIN f USING (url) WHERE length(trim(s, ' ')) >= 100 AND title IS NOT NULL GROUP BY 2""",
+    "crawl_likeness": f"""WITH d AS (SELECT DISTINCT source_id, {_KEY} AS url FROM discovered_urls WHERE source_id <> '' AND url IS NOT NULL),
+s AS (SELECT source_id, url, CASE WHEN regexp_matches(url, '/\\d{{4}}/\\d{{2}}/') THEN 3 ELSE 0 END + CASE WHEN regexp_matches(url, '\\d{{5}}') THEN 2 ELSE 0 END + CASE WHEN length(url) - length(replace(url, '-', '')) >= 5 THEN 2 ELSE 0 END
+ - CASE WHEN regexp_matches(url, '/(tag|category|page)/') THEN 5 ELSE 0 END AS score FROM d) SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY source_id ORDER BY score DESC, url) <= 10""",
     "crawl_due": "SELECT source_id FROM source_profiles WHERE source_id NOT IN (SELECT source_id FROM source_profiles GROUP BY 1 HAVING max(profiled_at) >= TIMESTAMP '2025-09-11')",
     "crawl_first_valid": """WITH d AS (SELECT DISTINCT source_id, url, discovered_at FROM discovered_urls WHERE source_id <> '')
 SELECT source_id, url FROM d SEMI JOIN articles USING (url) QUALIFY row_number() OVER (PARTITION BY source_id ORDER BY discovered_at, url) = 1""",

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidewire.functions import urls
@@ -94,6 +94,37 @@ def digest_alike(spark: SparkSession, sf_dir: str) -> DataFrame:
     return a.join(d, "url").select("id", digest.alike_texts(F.col("title"), F.substring("found_title", 1, 60)).alias("alike"))
 
 
+def digest_packs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return digest.link_packs(_topics(spark, sf_dir), "cluster", _order(), "url", 2, 12, 20)
+
+
+def digest_partials(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Topics counted over partial results, which are the tiers here with their sectors nested."""
+    t = _topics(spark, sf_dir).filter("score >= 0.5")
+    few = t.withColumn("r", F.row_number().over(Window.partitionBy("tier", "sector").orderBy(F.desc("score"), "id"))).filter("r <= 60")
+    sectors = few.groupBy("tier", F.col("sector").alias("code")).agg(F.collect_list("id").alias("sub_topics"))
+    partials = sectors.groupBy("tier").agg(F.collect_list(F.struct("code", "sub_topics")).alias("sector_notes"))
+    return digest.partial_counts(partials, "sector_notes", "code", "sub_topics")
+
+
+def digest_tidied(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = _topics(spark, sf_dir)
+    rules = [(F.col("headline").rlike("(?i)bank|capital"), "s0"), (F.col("headline").rlike("(?i)chip"), "s1")]
+    return digest.tidied(t, "sector", F.col("score") < 0.2, rules, "headline", _order(), 25).select("id", "sector", "rank")
+
+
+def digest_guarded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two filters: one that leaves something and one that would leave nothing and so does not count."""
+    t = _topics(spark, sf_dir).select("id", "tier")
+    some, none = digest.filtered_unless_empty(t, F.col("tier") == "C"), digest.filtered_unless_empty(t, F.col("tier").isin("A", "B", "C"))
+    return some.withColumn("what", F.lit("some")).unionByName(none.withColumn("what", F.lit("none"))).groupBy("what").agg(F.count(F.lit(1)).alias("n"))
+
+
+def digest_budget(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = table(spark, sf_dir, "documents")
+    return d.select("doc_id", digest.token_budget(1000, F.expr("n_chars div 4"), F.lit(100), 700, 50).cast("long").alias("tokens"))
+
+
 QUERIES = {k: v for k, v in list(globals().items()) if k.startswith("digest_")}
 
 _T = """t0 AS (SELECT id, max(source_id) AS cluster, max(url) AS url, max(title) AS headline, coalesce(max(quality_score), 0.0) AS score, max(extracted_at) AS seen FROM articles GROUP BY id),
@@ -136,6 +167,14 @@ round(count(*) FILTER (score > 0) / count(*), 4) AS scored_share, count(cluster)
 e AS (SELECT cluster, substr(x, 1, 200) AS excerpt, 1 AS used, 1 AS p FROM g WHERE p = 1
   UNION ALL SELECT e.cluster, e.excerpt || ' ' || g.x, e.used + 1, g.p FROM e JOIN g ON e.cluster = g.cluster AND g.p = e.p + 1 WHERE length(e.excerpt) + 1 + length(g.x) <= 200)
 SELECT cluster, excerpt, used FROM e QUALIFY row_number() OVER (PARTITION BY cluster ORDER BY used DESC) = 1""",
+    "digest_packs": f"""WITH {_T}, r AS (SELECT * FROM t WHERE url IS NOT NULL AND trim(url) <> '' AND cluster IS NOT NULL), lead AS (SELECT * FROM r QUALIFY row_number() OVER (PARTITION BY cluster ORDER BY {_O}) = 1), top AS (SELECT cluster FROM lead ORDER BY {_O} LIMIT 12),
+own AS (SELECT * FROM r SEMI JOIN top USING (cluster) QUALIFY row_number() OVER (PARTITION BY cluster, url ORDER BY {_O}) = 1), l AS (SELECT * FROM own QUALIFY row_number() OVER (PARTITION BY cluster ORDER BY {_O}) <= 2),
+o AS (SELECT * FROM l QUALIFY row_number() OVER (PARTITION BY url ORDER BY {_O}) = 1) SELECT cluster, url, row_number() OVER (ORDER BY {_O}) AS place FROM o QUALIFY place <= 20""",
+    "digest_partials": f"""WITH {_T}, f AS (SELECT * FROM t WHERE score >= 0.5 QUALIFY row_number() OVER (PARTITION BY tier, sector ORDER BY score DESC, id) <= 60) SELECT sector AS code, count(*) AS topics, count(DISTINCT tier) AS partials FROM f GROUP BY 1""",
+    "digest_tidied": f"""WITH {_T}, m AS (SELECT * REPLACE (CASE WHEN regexp_matches(headline, '(?i)bank|capital') THEN 's0' WHEN regexp_matches(headline, '(?i)chip') THEN 's1' ELSE sector END AS sector) FROM t WHERE NOT score < 0.2),
+o AS (SELECT * FROM m QUALIFY row_number() OVER (PARTITION BY sector, substr(lower(trim(coalesce(headline, ''))), 1, 120) ORDER BY {_O}) = 1) SELECT id, sector, row_number() OVER (PARTITION BY sector ORDER BY {_O}) AS rank FROM o QUALIFY rank <= 25""",
+    "digest_guarded": f"WITH {_T} SELECT 'some' AS what, count(*) FILTER (tier <> 'C') AS n FROM t UNION ALL SELECT 'none', count(*) FROM t",
+    "digest_budget": "SELECT doc_id, greatest(0, least(1000 - coalesce(n_chars // 4, 0) - 100 - 50, 700)) AS tokens FROM documents",
     "digest_uncopied": """WITH d AS (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents), s AS (SELECT doc_id, ls, lower(trim(array_to_string(ls[:2], ' '), ' ')) AS s FROM d)
 SELECT doc_id, CAST(len(list_filter(ls, lambda b: lower(trim(b, ' ')) <> s AND NOT (length(trim(b, ' ')) >= 40 AND contains(s, substr(lower(trim(b, ' ')), 1, 80))))) AS INTEGER) AS n FROM s""",
     "digest_alike": f"""WITH a AS (SELECT DISTINCT id, url, title FROM articles), d AS (SELECT url, min(title) AS found_title FROM discovered_urls WHERE title IS NOT NULL GROUP BY url),
