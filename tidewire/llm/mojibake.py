@@ -8,6 +8,7 @@ their byte sequences, and stay as they are.
 
 from __future__ import annotations
 
+import codecs
 import re
 import unicodedata
 from collections import Counter
@@ -51,22 +52,27 @@ def _byte_of(codec: str) -> dict[str, int]:
 
 
 @cache
-def _char_of(codec: str) -> list[str]:
+def _char_of(codec: str) -> str:
+    """The 256 characters of a codec, by byte."""
     chars = [""] * 256
     for c, b in _byte_of(codec).items():
         chars[b] = c
-    return chars
+    return "".join(chars)
+
+
+@cache
+def _encoding_of(codec: str):  # noqa: ANN202
+    return codecs.charmap_build(_char_of(codec))
 
 
 def _decoded(raw: bytes, codec: str) -> str:
-    return "".join(map(_char_of(codec).__getitem__, raw))
+    return codecs.charmap_decode(raw, "strict", _char_of(codec))[0]
 
 
 def _encoded(text: str, codec: str) -> bytes | None:
-    table = _byte_of(codec)
     try:
-        return bytes([table[c] for c in text])
-    except KeyError:
+        return codecs.charmap_encode(text, "strict", _encoding_of(codec))[0]
+    except UnicodeEncodeError:
         return None
 
 
