@@ -6,6 +6,11 @@ from pyspark.sql import Column, Window
 from pyspark.sql import functions as F
 
 
+def bound(value: Column, use) -> Column:  # noqa: ANN001
+    """``use(value)`` with ``value`` worked out once, however often it stands in there, also inside of lambdas."""
+    return F.transform(F.array(value), lambda x: use(x))[0]
+
+
 def ordered_array(value: Column, order: list[tuple[Column, bool]], limit: int) -> Column:
     """Aggregate: up to ``limit`` non-null values, ordered by (column, descending) pairs and then by value.
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tidewire.functions.arrays import bound
+
 #: Parts of a page that nobody reads.
 UNSEEN = r"(?is)<script\b.*?</script\s*>|<style\b.*?</style\s*>|<noscript\b.*?</noscript\s*>|<svg\b.*?</svg\s*>|<!--.*?-->"
 OPENS = r"(?i)<(?:p|h[1-3]|li)(?:\s[^>]*)?>"
@@ -40,10 +42,14 @@ def _numbered(text: Column, pattern: str, base: int) -> Column:
 
 def unescaped(text: Column) -> Column:
     """Entities as their characters; texts without any are passed on untouched."""
-    out = _numbered(_numbered(text, r"&#[0-9]{1,7};", 10), r"(?i)&#x[0-9a-f]{1,6};", 16)
-    for name, sign in ENTITIES.items():
-        out = F.replace(out, F.lit(f"&{name};"), F.lit(sign))
-    return F.when(text.contains("&"), F.replace(out, F.lit("&amp;"), F.lit("&"))).otherwise(text)
+
+    def resolved(t: Column) -> Column:
+        out = bound(bound(t, lambda x: _numbered(x, r"&#[0-9]{1,7};", 10)), lambda x: _numbered(x, r"(?i)&#x[0-9a-f]{1,6};", 16))
+        for name, sign in ENTITIES.items():
+            out = F.replace(out, F.lit(f"&{name};"), F.lit(sign))
+        return F.when(t.contains("&"), F.replace(out, F.lit("&amp;"), F.lit("&"))).otherwise(t)
+
+    return bound(text, resolved)
 
 
 def plain(markup: Column) -> Column:
@@ -59,24 +65,23 @@ def title(page: Column) -> Column:
 def description(page: Column) -> Column:
     """The first meta description; '' where there is none."""
     tags = F.filter(F.regexp_extract_all(F.coalesce(page, F.lit("")), F.lit(META), F.lit(0)), lambda x: x.rlike(DESCRIBES))
-    tag = F.coalesce(F.get(tags, F.lit(0)), F.lit(""))
-    return squeezed(unescaped(F.concat(F.regexp_extract(tag, CONTENT, 1), F.regexp_extract(tag, CONTENT, 2))))
+    quoted = lambda tag: F.concat(F.regexp_extract(tag, CONTENT, 1), F.regexp_extract(tag, CONTENT, 2))
+    return squeezed(unescaped(bound(F.coalesce(F.get(tags, F.lit(0)), F.lit("")), quoted)))
 
 
 def block_texts(page: Column) -> Column:
     """The texts of the paragraphs, headings and list items of a page, in order; an inner block ends the outer one's text."""
     marked = F.regexp_replace(F.regexp_replace(F.regexp_replace(F.coalesce(page, F.lit("")), UNSEEN, " "), OPENS, _OPEN), CLOSES, _CLOSE)
-    pieces = F.split(marked, _OPEN)
-    return F.transform(F.slice(pieces, F.lit(2), F.size(pieces)), lambda x: plain(F.substring_index(x, _CLOSE, 1)))
+    inner = bound(F.split(marked, _OPEN), lambda pieces: F.slice(pieces, F.lit(2), F.size(pieces)))
+    return F.transform(inner, lambda x: plain(F.substring_index(x, _CLOSE, 1)))
 
 
 def paragraphs(page: Column, least: int = 40) -> Column:
     """Blocks of at least ``least`` characters, each once whatever its case; where there are none, the description."""
-    long = F.filter(block_texts(page), lambda x: F.length(x) >= least)
-    low = F.transform(long, F.lower)
-    kept = F.filter(long, lambda x, i: F.array_position(low, F.lower(x)) == i + 1)
-    about = description(page)
-    return F.when(F.size(kept) > 0, kept).when(about != "", F.array(about)).otherwise(F.array().cast("array<string>"))
+    once = lambda long: bound(F.transform(long, lambda x: F.lower(x)), lambda low: F.filter(long, lambda x, i: F.array_position(low, F.lower(x)) == i + 1))
+    kept = bound(F.filter(block_texts(page), lambda x: F.length(x) >= least), once)
+    about = lambda d: F.when(d != "", F.array(d)).otherwise(F.array().cast("array<string>"))
+    return bound(kept, lambda k: F.when(F.size(k) > 0, k).otherwise(bound(description(page), about)))
 
 
 def snippet(parts: Column, first: int, most: int) -> Column:

@@ -57,8 +57,8 @@ def word_count(text: Column) -> Column:
 def vietnamese(text: Column, least_share: float = 0.08) -> Column:
     """Whether at least a share of the letters are ones that only Vietnamese writes; texts without letters are not."""
     low = F.lower(F.coalesce(text, F.lit("")))
-    letters = F.regexp_count(low, F.lit(r"\p{L}"))
-    return (letters > 0) & (F.regexp_count(low, F.lit(f"[{VIETNAMESE}]")) >= least_share * letters)
+    letters = F.length(F.regexp_replace(low, r"\P{L}+", ""))
+    return (letters > 0) & (F.length(F.regexp_replace(low, f"[^{VIETNAMESE}]+", "")) >= least_share * letters)
 
 
 def english(text: Column, words: Sequence[str], least_share: float = 0.12) -> Column:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidewire.functions import markup
+from tidewire.functions.arrays import bound
 from tidewire.operators import matching
 from tidewire.operators.ranking import distributed_rank
 from tidewire.runtime import table
@@ -17,7 +18,8 @@ FEED_ITEMS = 50
 
 def web_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = pages.paragraphs(table(spark, sf_dir, "raw_pages"), "raw_path", "html")
-    return p.select("raw_path", "title", F.size("paragraphs").alias("n"), F.array_join("paragraphs", "|").alias("text"))
+    both = bound(F.col("paragraphs"), lambda x: F.struct(F.size(x).alias("n"), F.array_join(x, "|").alias("text")))
+    return p.select("raw_path", "title", both.alias("r")).select("raw_path", "title", "r.n", "r.text")
 
 
 def web_snippets(spark: SparkSession, sf_dir: str) -> DataFrame:
