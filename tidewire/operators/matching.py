@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 from tidewire.functions import scores, urls
+from tidewire.operators import nearest
 from tidewire.runtime import broadcast_if_small, staged
 
 
@@ -63,11 +64,6 @@ def sequence_ratio_from(least: float):  # noqa: ANN201
     return ratio
 
 
-def _could_reach(a: Column, b: Column, least: float) -> Column:
-    """Whether the lengths of two strings allow a similarity of ``least``."""
-    return 2 * F.least(F.length(a), F.length(b)) >= least * (F.length(a) + F.length(b)) - 1e-9
-
-
 def resolved_urls(wanted: DataFrame, known: DataFrame, least: float = 0.72, contained: float = 0.82, strong: float = 0.48) -> DataFrame:
     """(raw_url, url, score): the known URL that each wanted one stands for.
 
@@ -76,7 +72,8 @@ def resolved_urls(wanted: DataFrame, known: DataFrame, least: float = 0.72, cont
     within the other scores ``contained`` at least; where both headline and title are there, the score is multiplied by
     0.55 + 0.45 x the title score. The best candidate at ``least`` or more wins, ties by the smaller URL. What is left goes
     to the best title of its host, then of any host, at ``strong`` or more. The title score is the similarity of headline
-    and title, or 0.7 x the share of the headline's words in the title if that is more.
+    and title, or 0.7 x the share of the headline's words in the title if that is more. Pairs that cannot be the best are
+    left out by bounds alone (see nearest), so the result is that of comparing all.
     """
     given = wanted if "headline" in wanted.columns else wanted.withColumn("headline", F.lit(None).cast("string"))
     titled = known if "title" in known.columns else known.withColumn("title", F.lit(None).cast("string"))
@@ -85,23 +82,15 @@ def resolved_urls(wanted: DataFrame, known: DataFrame, least: float = 0.72, cont
     w = staged(w.select("raw_url", "hl", words(F.col("hl")).alias("hw"), urls.page_query_key(F.col("raw_url")).alias("k"), urls.host(F.col("raw_url")).alias("h"), urls.path(F.col("raw_url")).alias("p")), "wanted")
     k = titled.filter(F.col("url").isNotNull()).select(urls.page_query_key(F.col("url")).alias("url"), text("title").alias("title")).groupBy("url").agg(F.min("title").alias("title"))
     k = staged(k.select("url", "title", words(F.col("title")).alias("tw"), urls.host(F.col("url")).alias("h"), urls.path(F.col("url")).alias("q")), "known")
+    w, k = w.withColumn("hw", F.array_join("hw", " ")), k.withColumn("tw", F.array_join("tw", " "))
     best = lambda scored: scored.groupBy("raw_url").agg(F.min_by(F.struct("url", "score"), F.struct(-F.col("score"), F.col("url"))).alias("b")).select("raw_url", "b.url", "b.score")
 
-    def title_score(at_least: float) -> Column:
-        return F.greatest(sequence_ratio_from(at_least)(F.col("hl"), F.col("title")), 0.7 * overlap(F.col("hw"), F.col("tw")))
-
     exact = w.join(k.select("url"), F.col("k") == F.col("url")).select("raw_url", "url", F.lit(1.0).alias("score"))
     left = w.join(exact.select("raw_url"), "raw_url", "left_anti").filter((F.col("h") != "") & (F.length("p") >= 10))
-    inside = F.col("p").contains(F.col("q")) | F.col("q").contains(F.col("p"))
-    cand = left.join(k, "h").filter(inside | _could_reach(F.col("p"), F.col("q"), least))
-    score = sequence_ratio_from(least)(F.col("p"), F.col("q"))
-    near = cand.withColumn("path_score", F.when(inside, F.greatest(score, F.lit(contained))).otherwise(score)).filter(F.col("path_score") >= least)
-    factor = F.when(F.col("hl").isNotNull() & F.col("title").isNotNull(), 0.55 + 0.45 * title_score(0.0)).otherwise(1.0)
-    by_path = near.withColumn("score", F.least(F.lit(1.0), F.col("path_score") * factor)).filter(F.col("score") >= least)
+    by_path = _in_blocks(left.select("h", "raw_url", "p", "hl", "hw"), k.select("h", "url", "q", "title", "tw"), nearest.by_path(least, contained))
     found = staged(exact.unionByName(best(by_path)), "resolved")
 
-    heads = k.filter("title IS NOT NULL")
-    possible = _could_reach(F.col("hl"), F.col("title"), strong) | F.arrays_overlap("hw", "tw")
+    heads = k.filter("title IS NOT NULL").select("h", "url", "title", "tw")
     open_ = w.filter("hl IS NOT NULL").join(found.select("raw_url"), "raw_url", "left_anti").select("raw_url", "hl", "hw", "h")
     for here in (True, False):
         rest = staged(open_, "open")
@@ -111,14 +100,35 @@ def resolved_urls(wanted: DataFrame, known: DataFrame, least: float = 0.72, cont
         on = ["hl", "h"] if here else ["hl"]
         same = best(rest.join(heads.withColumn("hl", F.col("title")).select("url", *on), on).withColumn("score", F.lit(1.0)))
         others = rest.join(same.select("raw_url"), "raw_url", "left_anti")
-        pairs = others.join(heads, "h") if here else others.drop("h").crossJoin(heads.drop("h"))
-        scored = pairs.filter(possible).withColumn("score", title_score(strong)).filter(F.col("score") >= strong)
+        of = (lambda df: df) if here else (lambda df: df.withColumn("h", F.lit("")))
+        scored = _in_blocks(of(others), of(heads), nearest.by_title(strong))
         matched = staged(same.unionByName(best(scored)), "by_title")
         found = found.unionByName(matched)
         open_ = rest.join(matched.select("raw_url"), "raw_url", "left_anti")
     return found
 
 
+#: Known URLs of a host that one task compares at most; of the wanted ones it takes an eighth of those of the host, or so many.
+KNOWN_BLOCK, WANTED_BLOCK = 65_536, 512
+
+
+def _in_blocks(wanted: DataFrame, known: DataFrame, find) -> DataFrame:  # noqa: ANN001
+    """(raw_url, url, score) of ``find`` over all pairs of blocks of each host ``h``, so that a large host is many tasks."""
+    sizes = wanted.groupBy("h").agg(F.count(F.lit(1)).alias("_n")).join(known.groupBy("h").agg(F.count(F.lit(1)).alias("_m")), "h")
+    each = F.greatest(F.lit(WANTED_BLOCK), F.ceil(F.col("_m") / 8))
+    sizes = staged(sizes.select("h", F.ceil(F.col("_n") / each).alias("_ws"), F.ceil(F.col("_m") / KNOWN_BLOCK).alias("_ks")), "block_sizes")
+    small = broadcast_if_small(sizes, 64)
+    every = lambda n: F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(n) - 1))
+    a = wanted.join(small, "h").withColumn("_w", F.pmod(F.xxhash64("raw_url"), "_ws")).withColumn("_k", every("_ks")).drop("_ws", "_ks")
+    b = known.join(small, "h").withColumn("_k", F.pmod(F.xxhash64("url"), "_ks")).withColumn("_w", every("_ws")).drop("_ws", "_ks")
+    keys = ["h", "_w", "_k"]
+    # the work of a block does not follow its bytes, so small ones are not to be put together in few tasks
+    spark = wanted.sparkSession
+    n = max(2 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    a, b = a.repartition(n, *keys), b.repartition(n, *keys)
+    return a.groupBy(*keys).cogroup(b.groupBy(*keys)).applyInPandas(find, "raw_url string, url string, score double")
+
+
 #: What names and numbers look like in a headline.
 HINTS = r"(\b[A-Z][a-zA-Z]{2,}\b|\b[A-Z]{2,}\b|\b\d[\d.,]{1,8}\b)"
 
