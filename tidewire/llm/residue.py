@@ -4,7 +4,7 @@ Method: labelled residue exemplars are held in an inverted index. Each passage w
 exemplars that share its words; its containment is the TF-IDF weight of the words it shares with the best one, over the
 weight of all its words. Documents of which windows with high containment cover at least half are excluded.
 
-The exemplars come from two places: a short list of public standard texts below, and a fit on a bounded sample of the
+The exemplars come from two places: a short list of public standard texts below, and a fit on all documents of the
 corpus at hand (see fitted_exemplars), which labels passages that make up whole documents and differ from document to
 document only in what a machine filled in.
 """
@@ -17,19 +17,19 @@ import unicodedata
 from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidewire.operators.ranking import one_row_each
 from tidewire.runtime import broadcast_if_small, packed, staged
 
 MIN_CONTAINMENT = 0.5
 MIN_COVERAGE = 0.5
 #: Lines of more characters than this are cut into sentences.
 WINDOW_CHARS = 200
-#: The exemplars are fitted on about so many documents (the bound of the labelled sample), those of the smallest hashes.
-FIT_DOCUMENTS = 30_000
 #: A passage is a template only if it was seen with so many different fillings.
 FIT_FILLINGS = 3
 #: At least so much of the documents that hold an exemplar must be templates or known residue as a whole.
@@ -214,63 +214,127 @@ class Index:
         return hit, total
 
 
+#: What a slot looks like in a text that was not cut into tokens.
+_SEEN = {"URL": r"/\w|\w\.\w", "NUM": r"\d", "QUOT": r"[“„«\"]"}
+
+
+def _words_of(exemplars: list[str]) -> list[str]:
+    return sorted({w for e in exemplars for w in tokens(e)} - _SLOTS - {"PH"})
+
+
 def _counted(docs: DataFrame, text_col: str, exemplars: list[str]) -> Index:
     """The exemplars' index, its weights counted over all documents without leaving the JVM; one count a word comes back."""
-    vocabulary = sorted({w for e in exemplars for w in tokens(e)} - _SLOTS - {"PH"})
     text = F.coalesce(F.col(text_col), F.lit(""))
-    words = F.array_intersect(F.split(F.lower(text), r"\P{L}+"), F.array(*[F.lit(w) for w in vocabulary]))
-    slots = [(name, F.array(F.lit(name))) for name in ("URL", "NUM", "QUOT")]
-    seen = {"URL": r"/\w|\w\.\w", "NUM": r"\d", "QUOT": r"[“„«\"]"}
-    marks = F.concat(*[F.when(text.rlike(seen[name]), value).otherwise(F.array().cast("array<string>")) for name, value in slots])
+    words = F.array_intersect(F.split(F.lower(text), r"\P{L}+"), F.array(*[F.lit(w) for w in _words_of(exemplars)]))
+    marks = F.concat(*[F.when(text.rlike(seen), F.array(F.lit(name))).otherwise(F.array().cast("array<string>")) for name, seen in _SEEN.items()])
     counts = docs.select(F.explode(F.concat(words, marks, F.array(F.lit("")))).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
     found = {r.word: r.n for r in counts.collect()}
     return Index(exemplars, found.pop("", 0), found)
 
 
-def _common_words(rows: DataFrame) -> frozenset[str]:
-    """The words that stand in two or more of the sampled documents; as bounded as the sample."""
+def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(h, text) of the documents with text, one row for each id; h is the hash of the id."""
+    rows = docs.filter(F.col(id_col).isNotNull() & (F.col(text_col) != "")).select(F.col(id_col).cast("string").alias("id"), F.col(text_col).alias("text"))
+    return one_row_each(rows, "id").select(F.xxhash64("id").alias("h"), "text")
+
+
+def _word_counts(rows: DataFrame) -> DataFrame:
+    """(word, n): in how many documents each word stands."""
     words = rows.select(F.explode(F.array_distinct(F.split(F.lower("text"), r"\P{L}+"))).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
-    return frozenset(r.word for r in words.filter("n > 1").select("word").collect())
+    return staged(words, "words")
+
+
+class _Masked(dict):
+    """Words as they stand in a skeleton: those of two or more documents, whose hashes are given, as they are, others as ONCE."""
 
+    #: Words that are kept at once.
+    MEMO = 300_000
+
+    def __init__(self, common: np.ndarray) -> None:
+        self.common = common
+
+    def __missing__(self, word: str) -> str:
+        h = xxhash.xxh64_intdigest(word, seed=42)  # as F.xxhash64 has it
+        h -= (h >> 63) << 64
+        at = int(self.common.searchsorted(h))
+        held = word in _SLOTS or word == "PH" or (at < len(self.common) and self.common[at] == h)
+        if len(self) >= self.MEMO:
+            self.clear()
+        self[word] = out = word if held else "ONCE"
+        return out
 
-def fitted_exemplars(docs: DataFrame, id_col: str = "id", text_col: str = "content", documents: int = FIT_DOCUMENTS) -> list[str]:
-    """Exemplars labelled by a bounded sample of the corpus: templates that make up whole documents.
 
-    The sample is the rows whose id hashes lie below the share that ``documents`` are of all rows, or all where there are
-    no more; hashes are uniform, so its size stays within a few per cent of that. A passage is a
+class _Cutter:
+    """Cuts texts into the windows the fit counts; what was found for a window is kept, as a site prints the same lines often."""
+
+    MEMO = 50_000
+
+    def __init__(self, common: np.ndarray) -> None:
+        self.masked, self.known, self._memo = _Masked(common), Index(EXEMPLARS, 0, {}), {}
+
+    def cut(self, text: str) -> Iterator[tuple[str, int, int, int, bool, bool, bool]]:
+        """(skeleton, its hash, the hash of the window, characters, plain, filled, known) of each window that says something."""
+        for piece in windows(unicodedata.normalize("NFKC", text)):
+            if piece in self._memo:
+                found = self._memo[piece]
+            else:
+                found = self._found(piece)
+                if len(self._memo) >= self.MEMO:
+                    self._memo.clear()
+                self._memo[piece] = found
+            if found is not None:
+                yield found
+
+    def _found(self, piece: str) -> tuple[str, int, int, int, bool, bool, bool] | None:
+        own = tokens(piece)
+        if _SLOTS.issuperset(own):
+            return None
+        masked = [self.masked[w] for w in own]
+        different = set(masked)
+        filled = not different.isdisjoint(_FILLED)
+        plain = not _UNSAID.issuperset(different)
+        skeleton = " ".join(masked) if plain else ""
+        # without weights of their own, words count alike: the window cannot reach the bound with too few that are known
+        known = 2 * sum(map(self.known.postings.__contains__, own)) >= len(own) and self.known.containment(own) >= MIN_CONTAINMENT
+        return skeleton, _hash(skeleton), _hash(_SPACED.sub("", piece)), len(piece), plain, filled, known
+
+
+_FILLED = frozenset(("URL", "QUOT", "PH", "ONCE"))
+_UNSAID = _SLOTS | {"ONCE"}
+
+
+def fitted_exemplars(docs: DataFrame, id_col: str = "id", text_col: str = "content") -> list[str]:
+    """Exemplars labelled by the corpus itself: templates that make up whole documents.
+
+    All documents are fitted on. A passage is a
     template when it comes with at least FIT_FILLINGS different addresses, titles, digits or words of no other document
     in otherwise equal words. A document is machine-made when at least FIT_WHOLE of its characters are templates or known
     residue. A passage that stands in machine-made documents in at least FIT_PURITY of its cases is an exemplar. Lines
     that a site prints around its stories are not, as most documents that hold them have a story; nor are copies of a
     story, which fill nothing in.
     """
-    rows = docs.filter(F.col(id_col).isNotNull() & (F.col(text_col) != "")).select(F.col(id_col).cast("string").alias("id"), F.col(text_col).alias("text"))
-    n = rows.count()
-    rows = rows.withColumn("h", F.xxhash64("id"))
-    if n > documents:
-        rows = rows.filter(F.col("h") < F.lit(int(documents / n * (2**64 - 1)) - 2**63))
-    rows = staged(rows.select("h", "text"), "residue_sample").dropDuplicates(["h"])
-    known = Index(EXEMPLARS, 0, {})
-    held = docs.sparkSession.sparkContext.broadcast(_common_words(rows))
+    rows = _texts(docs, id_col, text_col)
+    return _fitted(rows, _word_counts(rows))
+
+
+def _fitted(rows: DataFrame, words: DataFrame) -> list[str]:
+    """Texts and words stay where they are: eight bytes a common word are held by each task, and only hashes are counted and joined."""
+    common = words.filter("n > 1").select(F.xxhash64("word").alias("w")).toArrow().column("w").to_numpy()
+    held = rows.sparkSession.sparkContext.broadcast(np.sort(common))
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        common = held.value | _SLOTS | {"PH"}
+        cutter = _Cutter(held.value)
         for batch in batches:
-            out = []
-            for h, text in zip(batch["h"], batch["text"], strict=True):
-                for piece in windows(unicodedata.normalize("NFKC", text)):
-                    own = tokens(piece)
-                    if not _SLOTS.issuperset(own):
-                        masked = [w if w in common else "ONCE" for w in own]
-                        filled = not {"URL", "QUOT", "PH", "ONCE"}.isdisjoint(masked)
-                        plain = any(w not in _SLOTS and w != "ONCE" for w in masked)
-                        raw = _hash(_SPACED.sub("", piece))
-                        skeleton = " ".join(masked) if plain else ""
-                        out.append((h, skeleton, _hash(skeleton), raw, len(piece), plain, filled, known.containment(own) >= MIN_CONTAINMENT))
-            yield pd.DataFrame(out, columns=["h", "skeleton", "s", "raw", "chars", "plain", "filled", "known"])
-
-    # the words of a passage are written once; what is counted and joined below are hashes
-    cuts = staged(rows.mapInPandas(cut, "h long, skeleton string, s long, raw long, chars int, plain boolean, filled boolean, known boolean"), "residue_fit")
+            out = [(h, *x[1:]) for h, text in zip(batch["h"], batch["text"], strict=True) for x in cutter.cut(text)]
+            yield pd.DataFrame(dict(zip(("h", "s", "raw", "chars", "plain", "filled", "known"), zip(*out, strict=True), strict=True)) if out else {c: [] for c in ("h", "s", "raw", "chars", "plain", "filled", "known")})
+
+    def skeletons(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        cutter = _Cutter(held.value)
+        for batch in batches:
+            out = [(x[1], x[0]) for text in batch["text"] for x in cutter.cut(text)]
+            yield pd.DataFrame(out, columns=["s", "skeleton"])
+
+    cuts = staged(rows.mapInPandas(cut, "h long, s long, raw long, chars int, plain boolean, filled boolean, known boolean"), "residue_fit")
     forms = cuts.filter("plain").select("s", "raw").distinct().groupBy("s").agg(F.count(F.lit(1)).alias("forms")).filter(F.col("forms") >= FIT_FILLINGS).select("s")
     templates = broadcast_if_small(staged(forms.withColumn("template", F.lit(True)), "templates"), 24)
     marked = cuts.select("h", "s", "chars", "filled", "known").join(templates, "s", "left").withColumn("template", F.coalesce("template", F.lit(False)))
@@ -279,15 +343,25 @@ def fitted_exemplars(docs: DataFrame, id_col: str = "id", text_col: str = "conte
         F.max(F.col("filled") & F.col("template") | F.col("known")).alias("shown"),
     )
     made = broadcast_if_small(staged(whole.filter("made AND shown").select("h", F.lit(1).alias("made")), "machine_made"), 24)
-    judged = marked.filter("template").select("h", "s").distinct().join(made, "h", "left").groupBy("s").agg(F.count(F.lit(1)).alias("n"), F.count("made").alias("made"))
-    learned = judged.filter((F.col("n") >= FIT_FILLINGS) & (F.col("made") >= FIT_PURITY * F.col("n"))).select("s")
-    found = cuts.select("s", "skeleton").join(broadcast_if_small(staged(learned, "learned"), 24), "s", "left_semi").select("skeleton").distinct().collect()
+    judged = marked.filter("template").select("h", "s").distinct().join(made, "h", "left").groupBy("s").agg(F.count(F.lit(1)).alias("n"), F.count("made").alias("made"), F.min("h").alias("h"))
+    learned = staged(judged.filter((F.col("n") >= FIT_FILLINGS) & (F.col("made") >= FIT_PURITY * F.col("n"))).select("s", "h"), "learned")
+    # one document for each exemplar tells its words
+    named = rows.join(broadcast_if_small(learned.select("h").distinct(), 24), "h", "left_semi").mapInPandas(skeletons, "s long, skeleton string")
+    found = named.join(broadcast_if_small(learned.select("s"), 24), "s", "left_semi").select("skeleton").distinct().collect()
     return sorted({" ".join(w for w in r.skeleton.split(" ") if w != "ONCE") for r in found})
 
 
 def build_index(docs: DataFrame, id_col: str = "id", text_col: str = "content", exemplars: list[str] | None = None) -> Index:
     """The index of the given exemplars, or else of the standard and the fitted ones."""
-    return _counted(docs, text_col, exemplars or EXEMPLARS + fitted_exemplars(docs, id_col, text_col))
+    if exemplars:
+        return _counted(docs, text_col, exemplars)
+    rows = _texts(docs, id_col, text_col)
+    words = _word_counts(rows)
+    exemplars = EXEMPLARS + _fitted(rows, words)
+    # the fit has counted the words already
+    found = {r.word: r.n for r in words.filter(F.col("word").isin(_words_of(exemplars))).collect()}
+    slots = rows.agg(F.count(F.lit(1)).alias("n"), *[F.count_if(F.col("text").rlike(seen)).alias(name) for name, seen in _SEEN.items()]).first()
+    return Index(exemplars, slots.n, found | {name: slots[name] for name in _SEEN})
 
 
 def residue_shares(docs: DataFrame, id_col: str = "id", text_col: str = "content") -> DataFrame:
