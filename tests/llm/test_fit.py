@@ -31,3 +31,10 @@ def test_fit_on_all_documents(corpus):
 def test_hashes_agree(spark):
     got = spark.createDataFrame([("Élan",), ("слово",), ("a",)], "w string").select("w", F.xxhash64("w").alias("h")).collect()
     assert all(r.h == _hash(r.w) for r in got)
+
+
+def test_labels_by_the_whole_fit(corpus):
+    """Pages that are residue as a whole have no lines that could be labelled; stories keep theirs."""
+    df, made = corpus
+    few = {r.id for r in main_body.labelled_lines(df).filter(F.col("id").isin(made | {"d0", "d1"})).collect()}
+    assert few == {"d0", "d1"} - made
