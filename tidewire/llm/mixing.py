@@ -8,6 +8,7 @@ tokens are routed to the quotas of its sources, the first use of a document at n
 from __future__ import annotations
 
 import base64
+from array import array
 from collections.abc import Iterator
 from pathlib import Path
 
@@ -20,8 +21,6 @@ from tidewire.runtime import broadcast_if_small, staged
 
 TOKENIZER = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-#: The flow is solved on the driver over at most so many sets of target sources; 17 sources have no more.
-MAX_PATTERNS = 1 << 17
 
 _encoders: dict[int, object] = {}
 
@@ -54,8 +53,8 @@ class _Network:
 
     def __init__(self, nodes: int) -> None:
         self.out: list[list[int]] = [[] for _ in range(nodes)]
-        self.to: list[int] = []
-        self.room: list[int] = []
+        self.to = array("q")  # eight bytes an arc, as there may be many sets of sources
+        self.room = array("q")
 
     def arc(self, a: int, b: int, room: int) -> int:
         for x, y, r in ((a, b, room), (b, a, 0)):
@@ -158,15 +157,9 @@ def reachable_total(patterns: dict[tuple[str, ...], int], shares: dict[str, floa
     return low
 
 
-def _scarcest(patterns: DataFrame, shares: dict[str, float], repeats: dict[str, int]) -> list[str]:
-    """The target sources, those with the least supply for their share first."""
-    supply = {r.s: r.n for r in patterns.select(F.explode("pattern").alias("s"), "tokens").groupBy("s").agg(F.sum("tokens").alias("n")).collect()}
-    return sorted(shares, key=lambda s: (supply.get(s, 0) * repeats[s] / shares[s] if shares[s] > 0 else float("inf"), s))
-
-
 def mixed(
     docs: DataFrame, targets: DataFrame, seed: int = 7, total_tokens: int | None = None, tokenizer: str = TOKENIZER, source_col: str = "source", text_col: str = "text",
-    most_patterns: int = MAX_PATTERNS,
+    most_patterns: int | None = None,
 ) -> DataFrame:
     """(doc_id, source, repeats, tokens): the documents to use, how often for which source, and their tokens each.
 
@@ -175,9 +168,8 @@ def mixed(
     met gets all its documents max_repeats times. Documents of no target source, without text, or without id are left
     out; their texts are never tokenised. A source listed twice takes the smaller share and repeats.
 
-    Only the tokens of each pattern come to the driver. Where there are more than ``most_patterns`` sets of sources, each
-    document counts for the scarcest of its sources and one more by the set's hash: no document is left out and the repeats still hold, but the
-    flow has fewer ways then, so a quota may be missed that all sets together could have met; shares_reached tells. The running sums that select documents are taken over range
+    Only the tokens of each pattern come to the driver, and the flow is solved over all sets of sources, however many there
+    are; ``most_patterns`` is taken for callers that name it and changes nothing. The running sums that select documents are taken over range
     partitions, so a source with a third of all rows never meets in one task.
     """
     wanted = {r.source: (r.share, r.repeats) for r in targets.filter("source IS NOT NULL").groupBy("source").agg(F.min("target_share").alias("share"), F.min("max_repeats").alias("repeats")).collect()}
@@ -190,13 +182,7 @@ def mixed(
     sized = token_counts(mine.filter(F.size("pattern") > 0), tokenizer, "text").filter("tokens > 0")
     sized = staged(sized.dropDuplicates(["doc_id"]), "sized")
     sums = sized.groupBy("pattern").agg(F.sum("tokens").alias("tokens"))
-    if sums.limit(most_patterns + 1).count() > most_patterns:
-        first = F.array(*[F.lit(s) for s in _scarcest(sums, shares, repeats)])
-        own = F.array_intersect(first, "pattern")
-        other = F.slice(own, F.lit(2) + F.pmod(F.xxhash64("pattern"), F.greatest(F.lit(1), F.size(own) - 1)).cast("int"), F.lit(1))
-        sized = sized.withColumn("pattern", F.array_sort(F.concat(F.slice(own, 1, 1), other)))
-        sums = sized.groupBy("pattern").agg(F.sum("tokens").alias("tokens"))
-    patterns = {tuple(r.pattern): r.tokens for r in sums.collect()}
+    patterns = {tuple(r.pattern): r.tokens for r in sums.toLocalIterator()}
     total = reachable_total(patterns, shares, repeats) if total_tokens is None else total_tokens
     flow = routed(patterns, {s: int(total * x) for s, x in shares.items()}, repeats)
 
