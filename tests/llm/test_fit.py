@@ -38,3 +38,23 @@ def test_labels_by_the_whole_fit(corpus):
     df, made = corpus
     few = {r.id for r in main_body.labelled_lines(df).filter(F.col("id").isin(made | {"d0", "d1"})).collect()}
     assert few == {"d0", "d1"} - made
+
+
+def test_counts_in_one_pass(spark):
+    """Words, slots and documents are counted together; texts are not read again for the slots."""
+    texts = ["Read /a now", "Seen on e.g. page", "An end. “So” it 7 was", "plain words", "a/ b. c", "7 . x"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "h long, text string")
+    found = {r.word: r.n for r in residue._word_counts(rows).collect()}
+    assert {k: found.get(k) for k in ("URL", "NUM", "QUOT", residue._DOCUMENT)} == {"URL": 2, "NUM": 2, "QUOT": 1, residue._DOCUMENT: 6}
+    assert (found["a"], found["plain"], found["x"]) == (2, 1, 1)
+
+
+def test_cut_as_tokens_say():
+    """Windows cut without tokens() are masked as with it, also where letters are lowered by what stands around them."""
+    pieces = ["Plain Words 12 stand here", "covid19 ２０ x²", "ΟΔΟΣ.Α ΟΔΟΣ", "İstanbul Istanbul", "404", "Not Found 404", "at /a/b it says PH", "an end.Of a.b %x% 50 %", "URLs PHP NUMB QUOTE P U N Q"]
+    words = sorted({w for p in pieces for w in residue.tokens(p)} - {"here", "NUM"})
+    cutter = residue._Cutter(residue.np.sort(residue.np.array([_hash(w) for w in words], dtype="int64")))
+    for piece in pieces:
+        masked = ["ONCE" if w == "here" else w for w in residue.tokens(piece)]
+        found = cutter._found(piece)
+        assert found[0] == " ".join(masked) if found else set(masked) <= {"NUM", "URL", "QUOT"}

@@ -20,7 +20,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewire.operators.ranking import one_row_each
@@ -119,11 +119,11 @@ _URL = r"https?://\S+|/[\w.%~-]+(?:/[\w.%~-]*)*|[a-z0-9-]+(?:\.[a-z0-9-]+)+"
 _TOKEN = re.compile(rf"(?P<PH>PH\b|{_PLACEHOLDER})|(?P<URL>URL\b|{_URL})|(?P<NUM>NUM\b|\d+)|(?P<QUOT>QUOT\b)|(?P<word>[^\W\d_]+)")
 _QUOTE = re.compile(r"“[^”{<%$#\[]{1,200}”|„[^“{<%$#\[]{1,200}“|«[^»{<%$#\[]{1,200}»|\"[^\"{<%$#\[]{1,200}\"")
 _SENTENCE = re.compile(r"(?<=[.!?…])\s+")
-_SPACED = re.compile(r"\s+")
 _WORDS = re.compile(r"[^\W\d_]+")
 _DIGITS = re.compile(r"\d+")
 _PLAIN = re.compile(r"[^\W\d_]+|\d+")
-_SIGNS = re.compile(r"[{<$#\[@_&/“„«\"]|%[\w%]|[a-z0-9-]\.[a-z0-9-]|PH|URL|NUM|QUOT")
+# begins with one class of characters, so that it is searched for without a look at the other branches
+_SIGNS = re.compile(r"[{<$#\[@_&/“„«\"%.PUNQ](?:(?<=[{<$#\[@_&/“„«\"])|(?<=%)[\w%]|(?<=[a-z0-9-]\.)[a-z0-9-]|(?<=P)H|(?<=U)RL|(?<=N)UM|(?<=Q)UOT)")
 _SLOTS = frozenset(("URL", "NUM", "QUOT"))
 
 
@@ -174,16 +174,16 @@ class Index:
 
     def containment(self, own: list[str]) -> float:
         """The weight that the window shares with its best exemplar, over its whole weight; 0 for no words."""
-        known = [self.weight.get(w) for w in own]
-        held = sum(x for x in known if x is not None)
-        total = held + self.other * known.count(None)
+        known = list(filter(self.weight.__contains__, own))
+        held = sum(map(self.weight.__getitem__, known))
+        total = held + self.other * (len(own) - len(known))
         if held < MIN_CONTAINMENT * total or not total:  # no single exemplar can share more than all of them do
             return held / total if total else 0.0
         shared: Counter[int] = Counter()
-        for w, x in zip(own, known, strict=True):
-            if x is not None:
-                for e in self.postings.get(w, ()):
-                    shared[e] += x
+        for w in known:
+            x = self.weight[w]
+            for e in self.postings.get(w, ()):
+                shared[e] += x
         return max(shared.values(), default=0.0) / total
 
     def verdict(self, window: str) -> bool | None:
@@ -215,21 +215,28 @@ class Index:
 
 
 #: What a slot looks like in a text that was not cut into tokens.
-_SEEN = {"URL": r"/\w|\w\.\w", "NUM": r"\d", "QUOT": r"[“„«\"]"}
+_SEEN = {"URL": r"[/.](?<=/|\w\.)\w", "NUM": r"\d", "QUOT": r"[“„«\"]"}
+#: What counts the documents among the words; as the slots', its name is no word in lower case.
+_DOCUMENT = "DOC"
 
 
 def _words_of(exemplars: list[str]) -> list[str]:
     return sorted({w for e in exemplars for w in tokens(e)} - _SLOTS - {"PH"})
 
 
+def _marks(text: Column) -> Column:
+    """The names of the slots that a text has, and the one that counts the text itself."""
+    slots = [F.when(text.rlike(seen), F.array(F.lit(name))).otherwise(F.array().cast("array<string>")) for name, seen in _SEEN.items()]
+    return F.concat(*slots, F.array(F.lit(_DOCUMENT)))
+
+
 def _counted(docs: DataFrame, text_col: str, exemplars: list[str]) -> Index:
     """The exemplars' index, its weights counted over all documents without leaving the JVM; one count a word comes back."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     words = F.array_intersect(F.split(F.lower(text), r"\P{L}+"), F.array(*[F.lit(w) for w in _words_of(exemplars)]))
-    marks = F.concat(*[F.when(text.rlike(seen), F.array(F.lit(name))).otherwise(F.array().cast("array<string>")) for name, seen in _SEEN.items()])
-    counts = docs.select(F.explode(F.concat(words, marks, F.array(F.lit("")))).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    counts = docs.select(F.explode(F.concat(words, _marks(text))).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
     found = {r.word: r.n for r in counts.collect()}
-    return Index(exemplars, found.pop("", 0), found)
+    return Index(exemplars, found.pop(_DOCUMENT, 0), found)
 
 
 def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -239,13 +246,13 @@ def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def _word_counts(rows: DataFrame) -> DataFrame:
-    """(word, n): in how many documents each word stands."""
-    words = rows.select(F.explode(F.array_distinct(F.split(F.lower("text"), r"\P{L}+"))).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
-    return staged(words, "words")
+    """(word, n): in how many documents each word stands, each slot, and how many documents there are; in one pass."""
+    words = F.concat(F.array_distinct(F.split(F.lower("text"), r"\P{L}+")), _marks(F.col("text")))
+    return staged(rows.select(F.explode(words).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n")), "words")
 
 
 class _Masked(dict):
-    """Words as they stand in a skeleton: those of two or more documents, whose hashes are given, as they are, others as ONCE."""
+    """Words as they stand in a skeleton: those of two or more documents, whose hashes are given, as they are, others as ONCE; digits as NUM."""
 
     #: Words that are kept at once.
     MEMO = 300_000
@@ -260,7 +267,7 @@ class _Masked(dict):
         held = word in _SLOTS or word == "PH" or (at < len(self.common) and self.common[at] == h)
         if len(self) >= self.MEMO:
             self.clear()
-        self[word] = out = word if held else "ONCE"
+        self[word] = out = "NUM" if word[0].isdecimal() else word if held else "ONCE"
         return out
 
 
@@ -272,31 +279,36 @@ class _Cutter:
     def __init__(self, common: np.ndarray) -> None:
         self.masked, self.known, self._memo = _Masked(common), Index(EXEMPLARS, 0, {}), {}
 
-    def cut(self, text: str) -> Iterator[tuple[str, int, int, int, bool, bool, bool]]:
+    def cut(self, text: str) -> list[tuple[str, int, int, int, bool, bool, bool]]:
         """(skeleton, its hash, the hash of the window, characters, plain, filled, known) of each window that says something."""
+        memo, out = self._memo, []
         for piece in windows(unicodedata.normalize("NFKC", text)):
-            if piece in self._memo:
-                found = self._memo[piece]
+            if piece in memo:
+                found = memo[piece]
             else:
                 found = self._found(piece)
-                if len(self._memo) >= self.MEMO:
-                    self._memo.clear()
-                self._memo[piece] = found
+                if len(memo) >= self.MEMO:
+                    memo.clear()
+                memo[piece] = found
             if found is not None:
-                yield found
+                out.append(found)
+        return out
 
     def _found(self, piece: str) -> tuple[str, int, int, int, bool, bool, bool] | None:
-        own = tokens(piece)
-        if _SLOTS.issuperset(own):
-            return None
-        masked = [self.masked[w] for w in own]
+        # as tokens() has them, with the digits still to be named; two letters are lowered by what stands around them
+        own = tokens(piece) if _SIGNS.search(piece) or "Σ" in piece or "İ" in piece else _PLAIN.findall(piece.lower())
+        masked = list(map(self.masked.__getitem__, own))
         different = set(masked)
+        if _SLOTS.issuperset(different):
+            return None
         filled = not different.isdisjoint(_FILLED)
         plain = not _UNSAID.issuperset(different)
         skeleton = " ".join(masked) if plain else ""
         # without weights of their own, words count alike: the window cannot reach the bound with too few that are known
-        known = 2 * sum(map(self.known.postings.__contains__, own)) >= len(own) and self.known.containment(own) >= MIN_CONTAINMENT
-        return skeleton, _hash(skeleton), _hash(_SPACED.sub("", piece)), len(piece), plain, filled, known
+        known = 2 * (sum(map(self.known.postings.__contains__, own)) + masked.count("NUM")) >= len(own)
+        if known:
+            known = self.known.containment(["NUM" if w[0].isdecimal() else w for w in own]) >= MIN_CONTAINMENT
+        return skeleton, _hash(skeleton), _hash("".join(piece.split())), len(piece), plain, filled, known
 
 
 _FILLED = frozenset(("URL", "QUOT", "PH", "ONCE"))
@@ -359,9 +371,8 @@ def build_index(docs: DataFrame, id_col: str = "id", text_col: str = "content",
     words = _word_counts(rows)
     exemplars = EXEMPLARS + _fitted(rows, words)
     # the fit has counted the words already
-    found = {r.word: r.n for r in words.filter(F.col("word").isin(_words_of(exemplars))).collect()}
-    slots = rows.agg(F.count(F.lit(1)).alias("n"), *[F.count_if(F.col("text").rlike(seen)).alias(name) for name, seen in _SEEN.items()]).first()
-    return Index(exemplars, slots.n, found | {name: slots[name] for name in _SEEN})
+    found = {r.word: r.n for r in words.filter(F.col("word").isin([*_words_of(exemplars), *_SEEN, _DOCUMENT])).collect()}
+    return Index(exemplars, found.pop(_DOCUMENT, 0), found)
 
 
 def residue_shares(docs: DataFrame, id_col: str = "id", text_col: str = "content") -> DataFrame:
