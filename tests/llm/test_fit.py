@@ -58,3 +58,14 @@ def test_cut_as_tokens_say():
         masked = ["ONCE" if w == "here" else w for w in residue.tokens(piece)]
         found = cutter._found(piece)
         assert found[0] == " ".join(masked) if found else set(masked) <= {"NUM", "URL", "QUOT"}
+
+
+def test_verdict_without_a_short_cut():
+    """Windows that are left out by their words' sum have too little containment; digits alone are still no window."""
+    index = residue.Index(residue.EXEMPLARS, 100, {"the": 90, "not": 50, "found": 3, "page": 10})
+    pieces = ["Page not found", "the page not seen", "404", "404 500", "- | -", "Not found harvest", "A quiet harvest in the northern valley", "İ page", "not ΣΑΣ found", "Page 7 harvest valley"]
+    for piece in pieces:
+        own = residue.tokens(piece.lower())
+        said = not residue._SLOTS.issuperset(own)
+        assert index.verdict(piece) == (index.containment(own) >= residue.MIN_CONTAINMENT if said else None)
+    assert index.beyond(pieces[6].split()) and not index.beyond(pieces[0].split()) and not index.beyond(["404"])

@@ -155,6 +155,28 @@ def windows(text: str) -> Iterator[str]:
             yield from _SENTENCE.split(line)
 
 
+class _Margins(dict):
+    """What the words between two blanks add to a window's known weight beyond the bound; below 0 in sum, a window cannot reach it."""
+
+    #: Pieces of text that are kept at once.
+    MEMO = 300_000
+
+    def __init__(self, weight: dict[str, float], other: float) -> None:
+        self.weight, self.other = weight, other
+
+    def __missing__(self, piece: str) -> float:
+        total = held = 0.0
+        for w in _PLAIN.findall(piece.lower()):
+            x = self.weight.get("NUM" if w[0].isdecimal() else w)
+            held += x or 0.0
+            total += self.other if x is None else x
+        if len(self) >= self.MEMO:
+            self.clear()
+        # two letters are lowered by what stands around them: left open
+        self[piece] = out = math.inf if "Σ" in piece or "İ" in piece else held - MIN_CONTAINMENT * total
+        return out
+
+
 class Index:
     """Inverted index from words to exemplars, with the words' weights."""
 
@@ -170,6 +192,7 @@ class Index:
         # placeholders are residue wherever they stand; addresses, digits and quotations say little by themselves
         self.weight["PH"] = max(self.weight.values())
         self.other = sum(self.weight.values()) / len(self.weight)
+        self._margins = _Margins(self.weight, self.other)
         self._memo: dict[str, bool | None] = {}
 
     def containment(self, own: list[str]) -> float:
@@ -186,16 +209,22 @@ class Index:
                 shared[e] += x
         return max(shared.values(), default=0.0) / total
 
+    def beyond(self, pieces: list[str]) -> bool:
+        """Whether a window without signs, cut at its blanks, has too few known words for any exemplar; sums that are close are left open."""
+        return sum(map(self._margins.__getitem__, pieces)) < -1e-6
+
     def verdict(self, window: str) -> bool | None:
         """Whether a window is residue; None where it has neither words nor placeholders of its own."""
         if window in self._memo:
             return self._memo[window]
         if _SIGNS.search(window):
             own = tokens(window)
+        elif "NUM" in self.weight and self.beyond(window.split()):
+            own = None
         else:  # their order does not matter here
             low = window.lower()
             own = _WORDS.findall(low) + ["NUM"] * len(_DIGITS.findall(low))
-        out = None if _SLOTS.issuperset(own) else self.containment(own) >= MIN_CONTAINMENT
+        out = False if own is None else None if _SLOTS.issuperset(own) else self.containment(own) >= MIN_CONTAINMENT
         if len(self._memo) >= self.MEMO:
             self._memo.clear()
         self._memo[window] = out
@@ -252,7 +281,7 @@ def _word_counts(rows: DataFrame) -> DataFrame:
 
 
 class _Masked(dict):
-    """Words as they stand in a skeleton: those of two or more documents, whose hashes are given, as they are, others as ONCE; digits as NUM."""
+    """Words as they stand in a skeleton: those of two or more documents, whose hashes are given, as they are, others as ONCE."""
 
     #: Words that are kept at once.
     MEMO = 300_000
@@ -267,7 +296,22 @@ class _Masked(dict):
         held = word in _SLOTS or word == "PH" or (at < len(self.common) and self.common[at] == h)
         if len(self) >= self.MEMO:
             self.clear()
-        self[word] = out = "NUM" if word[0].isdecimal() else word if held else "ONCE"
+        self[word] = out = word if held else "ONCE"
+        return out
+
+
+class _Parts(dict):
+    """What the words between two blanks are in a skeleton; they have no signs, and may have no words."""
+
+    MEMO = 300_000
+
+    def __init__(self, masked: _Masked) -> None:
+        self.masked = masked
+
+    def __missing__(self, piece: str) -> str:
+        if len(self) >= self.MEMO:
+            self.clear()
+        self[piece] = out = " ".join([self.masked[w] for w in tokens(piece)])
         return out
 
 
@@ -278,6 +322,7 @@ class _Cutter:
 
     def __init__(self, common: np.ndarray) -> None:
         self.masked, self.known, self._memo = _Masked(common), Index(EXEMPLARS, 0, {}), {}
+        self.parts = _Parts(self.masked)
 
     def cut(self, text: str) -> list[tuple[str, int, int, int, bool, bool, bool]]:
         """(skeleton, its hash, the hash of the window, characters, plain, filled, known) of each window that says something."""
@@ -295,24 +340,31 @@ class _Cutter:
         return out
 
     def _found(self, piece: str) -> tuple[str, int, int, int, bool, bool, bool] | None:
-        # as tokens() has them, with the digits still to be named; two letters are lowered by what stands around them
-        own = tokens(piece) if _SIGNS.search(piece) or "Σ" in piece or "İ" in piece else _PLAIN.findall(piece.lower())
-        masked = list(map(self.masked.__getitem__, own))
-        different = set(masked)
-        if _SLOTS.issuperset(different):
-            return None
-        filled = not different.isdisjoint(_FILLED)
-        plain = not _UNSAID.issuperset(different)
-        skeleton = " ".join(masked) if plain else ""
-        # without weights of their own, words count alike: the window cannot reach the bound with too few that are known
-        known = 2 * (sum(map(self.known.postings.__contains__, own)) + masked.count("NUM")) >= len(own)
-        if known:
-            known = self.known.containment(["NUM" if w[0].isdecimal() else w for w in own]) >= MIN_CONTAINMENT
-        return skeleton, _hash(skeleton), _hash("".join(piece.split())), len(piece), plain, filled, known
+        pieces = piece.split()
+        if _SIGNS.search(piece):
+            own = tokens(piece)
+            if _SLOTS.issuperset(own):
+                return None
+            masked = [self.masked[w] for w in own]
+            skeleton, different = " ".join(masked), set(masked)
+            filled = not different.isdisjoint(_FILLED)
+            plain = not _UNSAID.issuperset(different)
+            known = self.known.containment(own) >= MIN_CONTAINMENT
+        else:  # words are lower case here, and only NUM and ONCE are not
+            skeleton = " ".join(filter(None, map(self.parts.__getitem__, pieces)))
+            filled = "ONCE" in skeleton
+            plain = _SAID.search(skeleton) is not None
+            if not (filled or plain):
+                return None
+            known = not self.known.beyond(pieces) and self.known.containment(tokens(piece)) >= MIN_CONTAINMENT
+        if not plain:
+            skeleton = ""
+        return skeleton, _hash(skeleton), _hash("".join(pieces)), len(piece), plain, filled, known
 
 
 _FILLED = frozenset(("URL", "QUOT", "PH", "ONCE"))
 _UNSAID = _SLOTS | {"ONCE"}
+_SAID = re.compile(r"[^A-Z ]")
 
 
 def fitted_exemplars(docs: DataFrame, id_col: str = "id", text_col: str = "content") -> list[str]:
