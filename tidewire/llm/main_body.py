@@ -44,7 +44,7 @@ STOPWORDS = frozenset(
 _BULLET = re.compile(r"^[-–—•*▪·]\s+\S")
 _NUMBERED = re.compile(r"^\d{1,2}[.)]\s+\S")
 _ENDS = re.compile(r"[.!?…][\"'”“»’)\]]*$")
-_MENU = re.compile(r"\s[|›»·•/]\s")
+_MENU = re.compile(r" [|›»·•/] ")
 _SPACE = re.compile(r"\s+")
 
 GOOD, BAD, OPEN, BULLET, BLANK = "G", "B", "S", "L", " "
@@ -57,7 +57,7 @@ _DIGITS = re.compile(r"\d+")
 
 def block_key(text: str) -> int:
     """The hash by which a line of the text, its repeats and a block of the page are the same; runs of digits are alike."""
-    return xxhash.xxh64_intdigest(_DIGITS.sub("0", _SPACE.sub(" ", text).strip().lower())) - (1 << 63)
+    return xxhash.xxh64_intdigest(_DIGITS.sub("0", " ".join(text.split()).lower())) - (1 << 63)
 
 
 def stopword_density(text: str) -> float:
@@ -68,7 +68,7 @@ def stopword_density(text: str) -> float:
 
 def decided(block: str, residue: bool = False) -> str:
     """Pass one for one block: GOOD, BAD, or one of the open labels; BLANK for white space."""
-    s = _SPACE.sub(" ", unicodedata.normalize("NFKC", block)).strip()
+    s = " ".join(unicodedata.normalize("NFKC", block).split())
     if not s:
         return BLANK
     if residue:
